@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from .minhash import op9_minhash
+from .sharding import op2_sharding
+from .urls import op10_url_filter
 
 
 def queries() -> dict:
-    return {"op9_minhash": op9_minhash}
+    return {
+        "op2_sharding": op2_sharding,
+        "op9_minhash": op9_minhash,
+        "op10_url_filter": op10_url_filter,
+    }
 
 
 def oracle_sql() -> dict:
