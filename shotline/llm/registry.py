@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .minhash import op9_minhash
+from .packing import op7_packing
 from .sharding import op2_sharding
 from .urls import op10_url_filter
 
@@ -10,6 +11,7 @@ from .urls import op10_url_filter
 def queries() -> dict:
     return {
         "op2_sharding": op2_sharding,
+        "op7_packing": op7_packing,
         "op9_minhash": op9_minhash,
         "op10_url_filter": op10_url_filter,
     }
