@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from .langid import op3_language
 from .minhash import op9_minhash
 from .packing import op7_packing
+from .quality import op8_quality
 from .sharding import op2_sharding
 from .urls import op10_url_filter
 
@@ -11,7 +13,9 @@ from .urls import op10_url_filter
 def queries() -> dict:
     return {
         "op2_sharding": op2_sharding,
+        "op3_language": op3_language,
         "op7_packing": op7_packing,
+        "op8_quality": op8_quality,
         "op9_minhash": op9_minhash,
         "op10_url_filter": op10_url_filter,
     }
