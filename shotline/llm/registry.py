@@ -5,6 +5,7 @@ from __future__ import annotations
 from .langid import op3_language
 from .minhash import op9_minhash
 from .packing import op7_packing
+from .pii import op5_pii
 from .quality import op8_quality
 from .sharding import op2_sharding
 from .urls import op10_url_filter
@@ -14,6 +15,7 @@ def queries() -> dict:
     return {
         "op2_sharding": op2_sharding,
         "op3_language": op3_language,
+        "op5_pii": op5_pii,
         "op7_packing": op7_packing,
         "op8_quality": op8_quality,
         "op9_minhash": op9_minhash,
