@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import ORACLE_OP4, op4_decontamination
 from .langid import op3_language
 from .minhash import op9_minhash
 from .packing import op7_packing
@@ -15,6 +16,7 @@ def queries() -> dict:
     return {
         "op2_sharding": op2_sharding,
         "op3_language": op3_language,
+        "op4_decontamination": op4_decontamination,
         "op5_pii": op5_pii,
         "op7_packing": op7_packing,
         "op8_quality": op8_quality,
@@ -24,4 +26,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op4_decontamination": ORACLE_OP4}
