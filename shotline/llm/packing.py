@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import os
 import re
 import unicodedata
 import zlib
@@ -22,38 +24,128 @@ BLOCK = 1 << 21
 STEP_TOKENS = 1 << 16
 END_ID = 1
 
-#: Texts that the word memo may handle: no control or rare characters, no special tokens' opening, Latin letters only.
-_PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-įı-ɏ]*")
-#: The tokenizer's own split, for those characters.
-_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[0-9²³¹¼½¾]|(?:[^\s\w]|_)+")
+#: Texts that the word memo may handle: Latin letters, no control or rare characters.
+_PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u024f]*")
+#: The tokenizer's contractions, where no mark stands before them.
+_CONTRACTION = re.compile(r"(?<![^\s\w])(?<!_)'(s|t|re|ve|m|ll|d)")
 
 
 class Encoder:
-    """Token ids of a text.
+    """Token ids of texts.
 
-    The vocabulary's words are encoded apart from each other, so the ids of a word are
-    remembered; texts outside plain Latin go to the tokenizer as a whole.
+    The vocabulary has word ends, so a word's ids don't hang on its neighbours.  The words
+    of many texts are found and hashed together in arrays (64 bits from a random value for
+    each character), and only words not met before go to the tokenizer.  Texts outside
+    plain Latin go to it whole.
     """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    _MULTIPLIER = 0x9E3779B97F4A7C15
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+    def __init__(self, path: str, most_words: int = 800_000):
+        from tokenizers import Tokenizer
 
-    def __call__(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, np.uint32)
-        if "<|" in text or not _PLAIN.fullmatch(text) or not unicodedata.is_normalized("NFC", text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        known, out = self.known, []
-        if len(known) > 500_000:
-            known.clear()
-        for w in _WORDS.findall(text.lower()):
-            ids = known.get(w)
-            if ids is None:
-                ids = known[w] = self.tokenizer.encode(w, add_special_tokens=False).ids
-            out += ids
-        return np.array(out, np.uint32)
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.tokenizer, self.most_words = Tokenizer.from_file(path), most_words
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        #: 0 space, 1 letter, 2 number (a word by itself), 3 any other mark; 0x01 stands for a contraction's apostrophe.
+        self.kinds = np.full(0x3000, 3, np.int8)
+        for i in range(0x3000):
+            c = chr(i)
+            self.kinds[i] = 1 if c.isalpha() or i == 1 else 2 if unicodedata.category(c)[0] == "N" else 0 if c.isspace() else 3
+        self.values = np.random.default_rng(3).integers(1, 2**63, 0x3000, dtype=np.uint64)
+        self.powers = self.inverses = np.empty(0, np.uint64)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.starts, self.sizes, self.flat, self.used = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64), np.empty(1 << 18, np.uint32), 0
+
+    def _learn(self, hashes: list[int], words: list[str]) -> None:
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        assert len(ends) == len(words), "each word ends with an id that ends words"
+        k, n = len(self.known), len(words)
+        while k + n > len(self.starts):
+            self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        first = np.concatenate([[0], ends[:-1]])
+        self.starts[k : k + n], self.sizes[k : k + n] = first + self.used, ends - first
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.known.update(zip(hashes, range(k, k + n), strict=True))
+
+    def _hashes(self, x: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        if len(self.powers) < len(x):
+            r = self._MULTIPLIER
+            self.powers = np.cumprod(np.full(len(x) * 2, r, np.uint64))
+            self.inverses = np.cumprod(np.full(len(x) * 2, pow(r, -1, 1 << 64), np.uint64))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.values[x] * self.powers[: len(x)])])
+        return (total[starts + sizes] - total[starts]) * self.inverses[starts] + sizes.astype(np.uint64)
+
+    def many(self, texts: list[str | None]) -> list[np.ndarray]:
+        out, at, parts = [np.empty(0, np.uint32)] * len(texts), [], []
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if "<|" in text or not _PLAIN.fullmatch(text) or not unicodedata.is_normalized("NFC", text):
+                out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+                continue
+            text = text.lower()
+            at.append(i)
+            parts.append(_CONTRACTION.sub(" \x01\\1 ", text) if "'" in text else text)
+        if not at:
+            return out
+        joined = "\n".join(parts) + "\n"
+        x = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        kind = self.kinds[x]
+        edge = np.flatnonzero(np.concatenate([[True], (kind[1:] != kind[:-1]) | (kind[1:] == 2)]))
+        sizes = np.diff(np.append(edge, len(x)))
+        word = kind[edge] > 0
+        starts, sizes = edge[word], sizes[word]
+        if not len(starts):
+            return out
+        keys, first, where = np.unique(self._hashes(x, starts, sizes), return_index=True, return_inverse=True)
+        if len(self.known) + len(keys) > self.most_words:
+            self._forget()
+        keys = keys.tolist()
+        new = [k for k, h in enumerate(keys) if h not in self.known]
+        if new:
+            spans = ((starts[k], starts[k] + sizes[k]) for k in first[new])
+            self._learn([keys[k] for k in new], [joined[a:b].replace("\x01", "'") for a, b in spans])
+        index = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))[where]
+        lengths = self.sizes[index]
+        ends = np.cumsum(lengths)
+        ids = self.flat[np.repeat(self.starts[index] - ends + lengths, lengths) + np.arange(ends[-1])]
+        bounds = np.cumsum([0] + [len(t) + 1 for t in parts])
+        cuts = np.concatenate([[0], ends])[np.searchsorted(starts, bounds)]
+        for k, i in enumerate(at):
+            out[i] = ids[cuts[k] : cuts[k + 1]]
+        return out
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        return self.many([text])[0]
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """The worker's own, kept from task to task."""
+    return Encoder(path)
+
+
+def _groups(column, chars: int = 1 << 19) -> Iterator[list]:
+    """Runs of texts of about so many characters."""
+    texts, size = [], 0
+    for x in column:
+        texts.append(x.as_py())
+        size += len(texts[-1] or "")
+        if size >= chars:
+            yield texts
+            texts, size = [], 0
+    if texts:
+        yield texts
 
 
 class Packer:
@@ -140,7 +232,7 @@ class Packer:
 
 def _packed(path: str, tiers, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, held, rows = Encoder(path), {}, []
+        encode, held, rows = encoder(path).many, {}, []
 
         def emit(doc, start, length, sequence, offset, tier, step):
             doc_id, ids = held[doc]
@@ -159,8 +251,9 @@ def _packed(path: str, tiers, with_ids: bool):
         packer = Packer(tiers, TaskContext.get().partitionId() << 40, emit)
         waiting, number = 0, 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.append(encode(text.as_py() or ""), np.uint32(END_ID))
+            encoded = (ids for texts in _groups(batch.column(1)) for ids in encode(texts))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
+                ids = np.append(ids, np.uint32(END_ID))
                 held[number] = (doc_id, ids)
                 packer.add(number, 0, len(ids))
                 number += 1
