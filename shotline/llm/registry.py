@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontaminate import ORACLE_OP4, op4_decontamination
+from .html import op1_html
 from .langid import op3_language
 from .minhash import op9_minhash
 from .packing import op7_packing
@@ -14,6 +15,7 @@ from .urls import op10_url_filter
 
 def queries() -> dict:
     return {
+        "op1_html": op1_html,
         "op2_sharding": op2_sharding,
         "op3_language": op3_language,
         "op4_decontamination": op4_decontamination,
