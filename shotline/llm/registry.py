@@ -6,6 +6,7 @@ from .decontaminate import ORACLE_OP4, op4_decontamination
 from .html import op1_html
 from .langid import op3_language
 from .minhash import op9_minhash
+from .neighbours import op6_embedding_dedup
 from .packing import op7_packing
 from .pii import op5_pii
 from .quality import op8_quality
@@ -20,6 +21,7 @@ def queries() -> dict:
         "op3_language": op3_language,
         "op4_decontamination": op4_decontamination,
         "op5_pii": op5_pii,
+        "op6_embedding_dedup": op6_embedding_dedup,
         "op7_packing": op7_packing,
         "op8_quality": op8_quality,
         "op9_minhash": op9_minhash,
