@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WordHashes, discard, mix, rows_with_ids, settle, shingle_hashes, words_of
@@ -107,6 +107,35 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(_star_links(percent), "a bigint, b bigint")
 
 
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["id", "n", "t"])
+
+
+def _rare_first(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ``classes(id, c)`` of different c that may reach the similarity, by prefix filtering.
+
+    Shingles are ordered from rare to frequent.  If |A| <= |B| and the pair is similar
+    enough, the two share one of A's first |A| - ceil(2p/(100+p) |A|) + 1 and B's first
+    |B| - ceil(p/100 |B|) + 1 shingles.  Near copies below the similarity differ in rare
+    shingles, so a large group of them makes few pairs, and no similar pair is lost.
+    """
+    flat = rows_with_ids(sets.withColumnRenamed("id", "doc_id"), classes.select(F.col("id").alias("doc_id")))
+    flat = flat.dropDuplicates(["doc_id"]).mapInArrow(_tokens, "id bigint, n bigint, t array<bigint>").select("id", "n", F.explode("t").alias("t"))
+    often = flat.groupBy("t").agg(F.count("*").alias("f"))
+    ranked = flat.join(often, "t").withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("f", "t")))
+    probe = F.col("n") - F.expr(f"(n * {percent} + 99) div 100") + 1
+    index = F.col("n") - F.expr(f"(n * {2 * percent} + {99 + percent}) div {100 + percent}") + 1
+    prefix = settle(ranked.where((F.col("f") > 1) & (F.col("rank") <= probe)).withColumn("first", F.col("rank") <= index).join(classes, "id").select("t", "id", "n", "c", "first", "rank"))
+    a = prefix.where("first").select("t", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("rank").alias("ra"))
+    b = prefix.select("t", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("rank").alias("rb"))
+    # At the first shingle that two sets share, no more than those behind it can follow.
+    reach = f"(100 + {percent}) * (1 + least(na - ra, nb - rb)) >= {percent} * (na + nb)"
+    met = a.join(b, "t").where(f"ca <> cb and (na < nb or na = nb and a < b) and 100 * na >= {percent} * nb and {reach}")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """Near-duplicate classes of ``docs(doc_id, text)``.
 
@@ -116,8 +145,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     1. One scan makes each text's set size, 128-bit text hash and band keys.
     2. Equal texts become one node, so copies never meet in a band.
     3. In each band the members are compared with the band's least node only, on full sets.
-    4. Members of one band that are still in different components are compared with each
-       other, so no link found by banding is lost and no large group is expanded.
+    4. Where members of a band are still in different components, all such documents are
+       joined on their rarest shingles, which finds every similar pair among them, so no
+       link found by banding is lost and no large group is expanded.
 
     Nulls and empty texts have no shingles and stand alone.  Rows of one doc_id are one
     document.  A row whose doc_id is null has a null component_id and is kept.  Other
@@ -126,27 +156,26 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = settle(src.mapInArrow(_sketch, "doc_id bigint, h1 bigint, h2 bigint, n_shingles bigint, bands array<bigint>"))
     whole = sketch.where("doc_id is not null and n_shingles > 0")
-    nodes = settle(whole.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")))
-    entries = nodes.select("id", F.explode("bands").alias("key"))
-    shared = entries.groupBy("key").agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1").select("key", "lead")
+    nodes = settle(whole.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
+    entries = nodes.select("id", "n", F.explode("bands").alias("key"))
+    shared = entries.groupBy("key").agg(F.min(F.struct("id", "n")).alias("lead"), F.count("*").alias("k")).where("k > 1").select("key", "lead.id", "lead.n").toDF("key", "lead", "lead_n")
     met = settle(entries.join(shared, "key"))
-    pairs = settle(met.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct())
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
-    sets = settle(rows_with_ids(src, wanted).mapInArrow(_sets, "id bigint, shingles binary").dropDuplicates(["id"]))
+    fits = f"id <> lead and 100 * least(n, lead_n) >= {percent} * greatest(n, lead_n)"
+    pairs = settle(met.where(fits).select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct())
+    sets = settle(rows_with_ids(src, met.select(F.col("id").alias("doc_id"))).mapInArrow(_sets, "id bigint, shingles binary"))
     stars = settle(confirm(pairs, sets, percent))
     first = components(stars)
     own = met.join(first, met["id"] == first["node"], "left").select("key", "id", F.coalesce("component", "id").alias("c"))
     mixed = own.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    apart = settle(own.join(mixed, "key"))
-    other = apart.select("key", F.col("id").alias("b"), F.col("c").alias("d"))
-    across = apart.select("key", F.col("id").alias("a"), "c").join(other, "key").where("a < b and c <> d").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    crossed = confirm(settle(across), sets, percent)
+    apart = settle(own.join(mixed, "key").select("id", "c").distinct())
+    across = settle(_rare_first(sets, apart, percent).join(pairs, ["a", "b"], "left_anti"))
+    crossed = confirm(across, sets, percent)
     # Rows of one doc_id with different texts, if any, are one document.
     same_id = whole.join(nodes.select("h1", "h2", "id"), ["h1", "h2"]).where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     final = components(settle(stars.union(crossed).union(same_id)))
     named = sketch.join(final, sketch["doc_id"] == final["node"], "left")
     out = settle(named.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
-    discard(sketch, nodes, met, pairs, sets, stars, apart)
+    discard(sketch, nodes, met, pairs, sets, stars, apart, across)
     return out
 
 
