@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,12 +14,21 @@ from pyspark.sql import functions as F
 from .common import WordHashes, discard, mix, rows_with_ids, settle, shingle_hashes, words_of
 from .graph import components
 
-#: The universe that shingles fall into, bands and rows of a band.  At the contract's Jaccard of 0.85 a pair misses every band with odds of 3 in 100,000.
-UNIVERSE, BANDS, ROWS = 1 << 20, 22, 6
+#: The universe that shingles fall into; coordinates of a signature at most; odds that a pair at the threshold misses every band.
+UNIVERSE, COORDINATES, MISS = 1 << 20, 140, 4e-5
 #: Members that one task compares with a leader at most; a leader of more is dealt to several tasks.
 STAR = 512
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows of a band: as many rows as the coordinates allow at the odds MISS."""
+    for rows in range(8, 0, -1):
+        bands = math.ceil(math.log(MISS) / math.log(1 - min(percent / 100, 0.999) ** rows))
+        if bands * rows <= COORDINATES:
+            return bands, rows
+    return COORDINATES, 1
+
+
 class Circulant:
     """Signatures from two permutations.
 
@@ -28,7 +38,7 @@ class Circulant:
     coordinates are one slice of it and a signature is a column-wise minimum.
     """
 
-    def __init__(self, seed: int = 20240601, universe: int = UNIVERSE, bands: int = BANDS, rows: int = ROWS):
+    def __init__(self, bands: int, rows: int, seed: int = 20240601, universe: int = UNIVERSE):
         self.n, self.bands, self.rows, self.universe = bands * rows, bands, rows, universe
         pi = np.random.default_rng(seed).permutation(universe).astype(np.int32)
         self.slices = np.lib.stride_tricks.sliding_window_view(np.concatenate([pi, pi[: self.n]]), self.n)
@@ -46,8 +56,12 @@ class Circulant:
         return mix((sig * self.weights).sum(axis=1, dtype=np.uint64) + np.arange(self.bands, dtype=np.uint64)).view(np.int64)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    circulant, cache = Circulant(), WordHashes()
+def _sketch(bands: int, rows: int):
+    return lambda batches: _sketched(batches, Circulant(bands, rows))
+
+
+def _sketched(batches: Iterator[pa.RecordBatch], circulant: Circulant) -> Iterator[pa.RecordBatch]:
+    cache = WordHashes()
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
         sizes, keys, high, low = [], [], [], []
@@ -154,7 +168,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     columns are not read.  An empty table gives an empty one.
     """
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = settle(src.mapInArrow(_sketch, "doc_id bigint, h1 bigint, h2 bigint, n_shingles bigint, bands array<bigint>"))
+    sketch = settle(src.mapInArrow(_sketch(*banding(percent)), "doc_id bigint, h1 bigint, h2 bigint, n_shingles bigint, bands array<bigint>"))
     whole = sketch.where("doc_id is not null and n_shingles > 0")
     nodes = settle(whole.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
     entries = nodes.select("id", "n", F.explode("bands").alias("key"))

@@ -276,7 +276,6 @@ def blank_out(text: str, spans) -> str:
 def redact(docs: DataFrame, field: Field | None) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced and, if there is one, ``n_chars`` made to fit; all other columns as they are."""
     names = docs.columns
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index("text")
@@ -293,7 +292,7 @@ def redact(docs: DataFrame, field: Field | None) -> DataFrame:
                     cols[k] = pa.array([o if n == t else len(n) for o, n, t in zip(old, new, texts, strict=True)], part.schema.field(k).type)
                 yield pa.RecordBatch.from_arrays(cols, schema=part.schema)
 
-    return docs.mapInArrow(run, fields)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op5_pii(spark, sf_dir: str) -> DataFrame:

@@ -151,7 +151,6 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: Model | None, cut: float = CUT) -> DataFrame:
     """The rows of ``docs`` whose score reaches ``cut``, all columns as they are."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +161,7 @@ def keep_good(docs: DataFrame, model: Model | None, cut: float = CUT) -> DataFra
                 scores = model.score([passages(t.as_py()) for t in part.column(at)]) if model else np.ones(part.num_rows)
                 yield part.filter(pa.array(scores >= cut))
 
-    return docs.mapInArrow(run, fields)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def held_out():

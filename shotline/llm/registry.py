@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from .decontaminate import ORACLE_OP4, op4_decontamination
 from .html import op1_html
 from .langid import op3_language
@@ -26,6 +28,7 @@ def queries() -> dict:
         "op8_quality": op8_quality,
         "op9_minhash": op9_minhash,
         "op10_url_filter": op10_url_filter,
+        "pipeline": corpus_pipeline.run,
     }
 
 
