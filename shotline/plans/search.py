@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,16 +83,18 @@ class TextSearch:
             out[q] = [(r["term"], 1 - r["d"] / min(len(r["term"]), len(q))) for r in rows]
         return out
 
-    def field_score(self, name: str, terms: list[str], fuzzy: bool = False) -> Column | None:
-        """The field's BM25 as an expression on ``tokens``; the corpus's statistics come from one aggregate over all documents."""
-        t = F.col(f"_t_{name}")
+    def field_score(self, hits: DataFrame, name: str, terms: list[str], fuzzy: bool = False) -> tuple[DataFrame, Column | None]:
+        """``hits`` with the field's matching words, and its BM25 as an expression on them; the corpus's
+        statistics come from one aggregate over all documents, whatever ``hits`` was filtered to."""
         groups = self._expanded(name, terms) if fuzzy else {q: [(q, 1.0)] for q in terms}
         flat = sorted({w for g in groups.values() for w, _ in g})
         if not flat:
-            return None
-        row = self.tokens.select(F.size(t).alias("dl"), *(F.array_contains(t, w).alias(f"w{i}") for i, w in enumerate(flat))).agg(F.count("*"), F.avg("dl"), *(F.count_if(f"w{i}") for i in range(len(flat)))).first()
+            return hits, None
+        # One pass over a document's words leaves the few that score.
+        found = lambda df: df.withColumns({f"_h_{name}": F.filter(f"_t_{name}", lambda x: x.isin(flat)), f"_l_{name}": F.size(f"_t_{name}").cast("double")})
+        t, length = F.col(f"_h_{name}"), F.col(f"_l_{name}")
+        row = found(self.tokens).select(length.alias("dl"), *(F.array_contains(t, w).alias(f"w{i}") for i, w in enumerate(flat))).agg(F.count("*"), F.avg("dl"), *(F.count_if(f"w{i}") for i in range(len(flat)))).first()
         n, mean, seen = row[0], row[1] or 1.0, dict(zip(flat, row[2:], strict=True))
-        length = F.size(t).cast("double")
         total = F.lit(0.0)
         for group in groups.values():
             # A fuzzy word's expansions share the largest frequency among them.
@@ -100,19 +103,22 @@ class TextSearch:
             for w, boost in group:
                 tf = _times(t, w)
                 total = total + boost * idf * tf / (tf + K1 * (1 - B + B * length / mean))
-        return total
+        return found(hits), total
 
     def search(self, query: str, top_k: int = 100, *, fields: Sequence[str] | None = None, where: Column | None = None, min_score: float | None = None, fuzzy: bool = False) -> DataFrame:
         """The best documents with ``score``: the best of the fields' scores, above 0."""
         if not 0 < top_k <= MOST_TEXT_HITS:
             raise InputError(f"top_k is 1 to {MOST_TEXT_HITS}")
         terms = self.terms(query)
-        scores = [s for f in fields or list(self.fields) if (s := self.field_score(f, terms, fuzzy)) is not None]
+        hits, scores = self.tokens if where is None else self.tokens.where(where), []
+        for f in fields or list(self.fields):
+            hits, score = self.field_score(hits, f, terms, fuzzy)
+            scores += [] if score is None else [score]
         if not scores:
             return self.docs.withColumn("score", F.lit(0.0)).where(F.lit(False))
         best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-        hits = self.tokens if where is None else self.tokens.where(where)
-        hits = hits.select(*self.docs.columns, F.round(best, self.digits).alias("score")).where("score > 0")
+        any_hit = functools.reduce(lambda a, b: a | b, (F.size(f"_h_{f}") > 0 for f in fields or list(self.fields) if f"_h_{f}" in hits.columns))
+        hits = hits.where(any_hit).select(*self.docs.columns, F.round(best, self.digits).alias("score")).where("score > 0")
         return R.top_k(hits, top_k, "score", self.key, min_score)
 
     def postings(self, name: str) -> DataFrame:
@@ -209,9 +215,5 @@ class Engine:
 
 def fuse(hits: dict[str, DataFrame], key: str = "keyframe_id", k: int = 60) -> DataFrame:
     """Reciprocal-rank fusion of several hit lists: an addition, for scores that cannot be compared."""
-    from functools import reduce
-
-    from pyspark.sql import Window
-
     ranked = [df.select(key, F.row_number().over(Window.orderBy(F.desc("score"), key)).alias("r")) for df in hits.values()]
-    return reduce(DataFrame.unionByName, ranked).groupBy(key).agg(F.sum(1 / (F.col("r") + k)).alias("score"))
+    return functools.reduce(DataFrame.unionByName, ranked).groupBy(key).agg(F.sum(1 / (F.col("r") + k)).alias("score"))
