@@ -127,7 +127,7 @@ def natural_key(c: Column) -> Column:
 
 def distinct_trimmed(c: Column) -> Column:
     """Non-blank strings, trimmed, the first of equal ones, in order."""
-    return F.array_distinct(F.filter(F.transform(c, F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(c, lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def tokens(c: Column) -> Column:

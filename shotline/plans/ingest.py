@@ -77,10 +77,10 @@ def ingest(store: Store, *, shots, transcripts, keyframes, segments, detections,
     store.upsert("videos", videos.select("video_id", "fps", "num_shots", F.coalesce("num_keyframes", F.lit(0)).alias("num_keyframes"), F.lit(batch).alias("batch")), "video_id")
     frames = store.read("frames").join(keyframes.select("video_id").distinct(), "video_id", "left_semi")
     store.refresh("frame_text", index_docs(frames, store.read("shots")), "video_id")
-    rows = [vector_rows(df, store.read("frames"), model) for model, df in vectors.items()]
-    for df in rows:
-        key = F.concat_ws("/", "model", "video_id")
-        store.put("vectors", R.refresh(store.read("vectors").withColumn("_p", key), df.withColumn("_p", key), "_p").drop("_p") if store.has("vectors") else df)
+    key = F.concat_ws("/", "model", "video_id")
+    for model, df in vectors.items():
+        new = vector_rows(df, store.read("frames"), model)
+        store.put("vectors", R.refresh(store.read("vectors").withColumn("_p", key), new.withColumn("_p", key), "_p").drop("_p") if store.has("vectors") else new)
     store.set_synced(keyframes.select("keyframe_id"), "elastic")
-    for df in rows:
-        store.set_synced(df.select(F.col("frame_id").alias("keyframe_id")), "milvus")
+    for df in vectors.values():
+        store.set_synced(df.select(F.col("id").alias("keyframe_id")), "milvus")
