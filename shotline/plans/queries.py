@@ -11,7 +11,7 @@ from ..functions import media as M
 from ..functions import text as X
 from ..functions import vectors as V
 from ..operators import metrics, relational as R, rules, sequence as S, timeline as T
-from . import search
+from . import search, stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -635,3 +635,20 @@ def line_matching(spark, sf):
     g = c.agg(of("user").alias("a"), of("assistant").alias("b"))
     folded = lambda x: F.transform(F.col(x)["text"], lambda t: X.unaccented(F.substring_index(t, ".", 1)))
     return g.select("conv_id", F.explode(metrics.matched_lines(folded("a"), folded("b"))).alias("line", "slot"))
+
+
+@query(
+    """WITH RECURSIVE e AS (SELECT label, vec_id, embedding, abs(round(CAST(embedding[1] AS DOUBLE) * 1000)) AS size, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame_idx FROM embeddings),
+s AS (SELECT *, coalesce(abs(size - lag(size) OVER w) / greatest(lag(size) OVER w, 1.0), 0.0) AS steep FROM e WINDOW w AS (PARTITION BY label ORDER BY frame_idx)),
+m AS (SELECT *, round(avg(steep) OVER (PARTITION BY label ORDER BY frame_idx ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING), 6) AS score FROM s),
+c AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY frame_idx) AS p FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, frame_idx DESC) AS r, count(*) OVER (PARTITION BY label) AS n FROM m) WHERE r <= greatest(1, trunc(n * 0.3)) OR frame_idx = 0),
+k AS (SELECT label, frame_idx, p, embedding AS last, true AS kept FROM c WHERE p = 1 UNION ALL
+SELECT label, frame_idx, p, CASE WHEN s < 0.2 THEN embedding ELSE last END, s < 0.2 FROM (SELECT c.label, c.frame_idx, c.p, c.embedding, k.last, list_dot_product(CAST(k.last AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS s FROM k JOIN c ON c.label = k.label AND c.p = k.p + 1))
+SELECT CAST(label AS VARCHAR) AS video_id, printf('s%d_kf%04d', label, row_number() OVER (PARTITION BY label ORDER BY frame_idx)) AS keyframe_id, CAST(frame_idx AS BIGINT) AS frame_idx, CAST(frame_idx * 40 AS BIGINT) AS timestamp_ms FROM k WHERE kept"""
+)
+def keyframe_extraction(spark, sf):
+    e = table(spark, sf, "embeddings")
+    size = F.abs(F.round(F.get("embedding", 0).cast("double") * 1000))
+    frames = e.select(F.col("label").cast("string").alias("video_id"), F.concat(F.lit("s"), F.col("label").cast("string")).alias("shot_id"), S.numbered(["label"], ["vec_id"], 0).cast("bigint").alias("frame_idx"), size.alias("size"), "embedding")
+    return stages.extract_keyframes(frames, stages.steepest_frames(0.3, digits=6), threshold=0.2).select("video_id", "keyframe_id", "frame_idx", "timestamp_ms")
+
