@@ -48,7 +48,7 @@ def edit_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([damerau(x, y) for x, y in zip(a, b, strict=True)])
 
 
-def _times(tokens: Column, word: str) -> Column:
+def _times(tokens: Column, word: Column) -> Column:
     return F.size(F.filter(tokens, lambda x: x == word)).cast("double")
 
 
@@ -67,43 +67,44 @@ class TextSearch:
         row = self.docs.sparkSession.range(1).select(self.analyzer(F.lit(query)).alias("t")).first()
         return sorted(set(row["t"]))
 
-    def _expanded(self, name: str, terms: list[str]) -> dict[str, list[tuple[str, float]]]:
-        """For each query word the vocabulary's words within its allowed edits, with their boosts; the nearest first."""
-        vocabulary = self.tokens.select(F.explode(f"_t_{name}").alias("term")).distinct()
-        out: dict[str, list[tuple[str, float]]] = {}
-        for q in terms:
-            most = allowed_edits(q)
-            if not most:
-                out[q] = [(q, 1.0)]
-                continue
-            # A transposition is two edits for the built-in distance, which so leaves few words for the exact one.
-            rough = F.levenshtein(F.col("term"), F.lit(q), 2 * most) >= 0
-            near = vocabulary.where(F.length("term").between(len(q) - most, len(q) + most) & rough).withColumn("d", edit_distance(F.col("term"), F.lit(q)))
-            rows = near.where(F.col("d") <= most).orderBy("d", "term").limit(EXPANSIONS).collect()
-            out[q] = [(r["term"], 1 - r["d"] / min(len(r["term"]), len(q))) for r in rows]
-        return out
+    def _expanded(self, name: str, terms: list[str]) -> tuple[dict[str, list[tuple[str, float]]], dict[str, int]]:
+        """For each query word the vocabulary's words within its allowed edits, with their boosts, the nearest first;
+        and the words' document frequencies.  One pass over the documents for all query words."""
+        vocabulary = self.tokens.select(F.explode(F.array_distinct(f"_t_{name}")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+        asked = F.explode(F.array(*(F.struct(F.lit(q).alias("q"), F.lit(allowed_edits(q)).alias("most")) for q in terms)))
+        # A transposition is two edits for the built-in distance, which so leaves few words for the exact one.
+        near = vocabulary.withColumn("a", asked).select("term", "df", "a.q", "a.most").where(F.abs(F.length("term") - F.length("q")) <= F.col("most"))
+        near = near.where(F.levenshtein("term", "q") <= 2 * F.col("most")).withColumn("d", edit_distance("term", "q")).where("d <= most")
+        rank = F.row_number().over(Window.partitionBy("q").orderBy("d", "term"))
+        rows = near.withColumn("r", rank).where(F.col("r") <= EXPANSIONS).orderBy("q", "r").collect()
+        groups: dict[str, list[tuple[str, float]]] = {q: [] for q in terms}
+        for r in rows:
+            groups[r["q"]].append((r["term"], 1 - r["d"] / min(len(r["term"]), len(r["q"]))))
+        return groups, {r["term"]: r["df"] for r in rows}
 
     def field_score(self, hits: DataFrame, name: str, terms: list[str], fuzzy: bool = False) -> tuple[DataFrame, Column | None]:
         """``hits`` with the field's matching words, and its BM25 as an expression on them; the corpus's
-        statistics come from one aggregate over all documents, whatever ``hits`` was filtered to."""
-        groups = self._expanded(name, terms) if fuzzy else {q: [(q, 1.0)] for q in terms}
+        statistics come from aggregates over all documents, whatever ``hits`` was filtered to."""
+        t, length, words = F.col(f"_h_{name}"), F.col(f"_l_{name}"), F.col(f"_t_{name}")
+        groups, seen = self._expanded(name, terms) if fuzzy else ({q: [(q, 1.0)] for q in terms}, {})
         flat = sorted({w for g in groups.values() for w, _ in g})
         if not flat:
             return hits, None
+        counts = [] if fuzzy else [F.count_if(F.array_contains(words, w)) for w in flat]
+        n, mean, *df_of = self.tokens.agg(F.count("*"), F.avg(F.size(words)), *counts).first()
+        seen = seen or dict(zip(flat, df_of, strict=True))
         # One pass over a document's words leaves the few that score.
-        found = lambda df: df.withColumns({f"_h_{name}": F.filter(f"_t_{name}", lambda x: x.isin(flat)), f"_l_{name}": F.size(f"_t_{name}").cast("double")})
-        t, length = F.col(f"_h_{name}"), F.col(f"_l_{name}")
-        row = found(self.tokens).select(length.alias("dl"), *(F.array_contains(t, w).alias(f"w{i}") for i, w in enumerate(flat))).agg(F.count("*"), F.avg("dl"), *(F.count_if(f"w{i}") for i in range(len(flat)))).first()
-        n, mean, seen = row[0], row[1] or 1.0, dict(zip(flat, row[2:], strict=True))
-        total = F.lit(0.0)
+        hits = hits.withColumns({f"_h_{name}": F.filter(words, lambda x: x.isin(flat)), f"_l_{name}": F.size(words).cast("double")})
+        weight = dict.fromkeys(flat, 0.0)
         for group in groups.values():
             # A fuzzy word's expansions share the largest frequency among them.
             df = max((seen[w] for w, _ in group), default=0)
-            idf = math.log(1 + (n - df + 0.5) / (df + 0.5))
             for w, boost in group:
-                tf = _times(t, w)
-                total = total + boost * idf * tf / (tf + K1 * (1 - B + B * length / mean))
-        return found(hits), total
+                weight[w] += boost * math.log(1 + (n - df + 0.5) / (df + 0.5))
+        weights = F.map_from_arrays(F.array(*map(F.lit, weight)), F.array(*map(F.lit, weight.values())))
+        longer = K1 * (1 - B + B * length / (mean or 1.0))
+        part = lambda w: F.element_at(weights, w) * _times(t, w) / (_times(t, w) + longer)
+        return hits, F.aggregate(F.array_distinct(t), F.lit(0.0), lambda s, w: s + part(w))
 
     def search(self, query: str, top_k: int = 100, *, fields: Sequence[str] | None = None, where: Column | None = None, min_score: float | None = None, fuzzy: bool = False) -> DataFrame:
         """The best documents with ``score``: the best of the fields' scores, above 0."""
@@ -118,8 +119,9 @@ class TextSearch:
             return self.docs.withColumn("score", F.lit(0.0)).where(F.lit(False))
         best = F.greatest(*scores) if len(scores) > 1 else scores[0]
         any_hit = functools.reduce(lambda a, b: a | b, (F.size(f"_h_{f}") > 0 for f in fields or list(self.fields) if f"_h_{f}" in hits.columns))
-        hits = hits.where(any_hit).select(*self.docs.columns, F.round(best, self.digits).alias("score")).where("score > 0")
-        return R.top_k(hits, top_k, "score", self.key, min_score)
+        hits = hits.where(any_hit).select(*self.docs.columns, F.round(best, self.digits).alias("score"))
+        # Below the cut, so that the score is not worked out a second time for a filter.
+        return R.top_k(hits, top_k, "score", self.key, min_score).where("score > 0")
 
     def postings(self, name: str) -> DataFrame:
         """``term, key, tf``: the inverted index of a field, to be written as a table."""
