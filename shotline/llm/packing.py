@@ -16,6 +16,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import arrow_map
+
 #: Context sizes, each a power of two: a full window of any tier has no padding.
 TIERS = (256, 512, 1024, 2048)
 #: Tokens packed together; what doesn't fill a window goes on to the next block.
@@ -41,7 +43,7 @@ class Encoder:
 
     _MULTIPLIER = 0x9E3779B97F4A7C15
 
-    def __init__(self, path: str, most_words: int = 800_000):
+    def __init__(self, path: str, most_words: int = 600_000):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -59,14 +61,15 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.starts, self.sizes, self.flat, self.used = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64), np.empty(1 << 18, np.uint32), 0
+        # Known hashes in order, and for each the place of its ids; arrays, for a worker's memory is short.
+        self.known, self.place = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.starts, self.sizes, self.flat, self.used, self.words = np.empty(1 << 16, np.int32), np.empty(1 << 16, np.int32), np.empty(1 << 18, np.uint32), 0, 0
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
         ends = np.flatnonzero(self.ends[ids]) + 1
         assert len(ends) == len(words), "each word ends with an id that ends words"
-        k, n = len(self.known), len(words)
+        k, n = self.words, len(words)
         while k + n > len(self.starts):
             self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
         while self.used + len(ids) > len(self.flat):
@@ -75,7 +78,16 @@ class Encoder:
         self.starts[k : k + n], self.sizes[k : k + n] = first + self.used, ends - first
         self.flat[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
-        self.known.update(zip(hashes, range(k, k + n), strict=True))
+        self.words += n
+        at = np.searchsorted(self.known, hashes)
+        self.known, self.place = np.insert(self.known, at, hashes), np.insert(self.place, at, np.arange(k, k + n, dtype=np.int32))
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, or -1."""
+        if not len(self.known):
+            return np.full(len(keys), -1, np.int32)
+        at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
+        return np.where(self.known[at] == keys, self.place[at], -1)
 
     def _hashes(self, x: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         if len(self.powers) < len(x):
@@ -110,13 +122,12 @@ class Encoder:
         keys, first, where = np.unique(self._hashes(x, starts, sizes), return_index=True, return_inverse=True)
         if len(self.known) + len(keys) > self.most_words:
             self._forget()
-        keys = keys.tolist()
-        new = [k for k, h in enumerate(keys) if h not in self.known]
-        if new:
+        new = np.flatnonzero(self._find(keys) < 0)
+        if len(new):
             spans = ((starts[k], starts[k] + sizes[k]) for k in first[new])
-            self._learn([keys[k] for k in new], [joined[a:b].replace("\x01", "'") for a, b in spans])
-        index = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))[where]
-        lengths = self.sizes[index]
+            self._learn(keys[new], [joined[a:b].replace("\x01", "'") for a, b in spans])
+        index = self._find(keys)[where]
+        lengths = self.sizes[index].astype(np.int64)
         ends = np.cumsum(lengths)
         ids = self.flat[np.repeat(self.starts[index] - ends + lengths, lengths) + np.arange(ends[-1])]
         bounds = np.cumsum([0] + [len(t) + 1 for t in parts])
@@ -296,7 +307,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, tiers=TIERS, with_ids: b
         raise ValueError("tiers are powers of two")
     schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, tier int, step_group string"
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return src.mapInArrow(_packed(str(tokenizer), tuple(tiers), with_ids), schema + ", ids array<bigint>" * with_ids)
+    return src.transform(arrow_map, _packed(str(tokenizer), tuple(tiers), with_ids), schema + ", ids array<bigint>" * with_ids)
 
 
 def op7_packing(spark, sf_dir: str) -> DataFrame:
