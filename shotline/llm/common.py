@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Ids sent to every executor at most; beyond it the same join runs as a shuffle.
 BROADCAST_ROWS = 1_000_000
+_left: dict[str, SparkSession] = {}
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -37,20 +43,34 @@ def settle(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/t-{uuid.uuid4().hex}"
+    if not _left:
+        atexit.register(_sweep)
+    _left[path] = spark
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._scratch_path = path
     return back
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete scratch tables that no later plan reads."""
     for t in tables:
         path = getattr(t, "_scratch_path", None)
         if path:
-            jvm = t.sparkSession.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(t.sparkSession, path)
+            _left.pop(path, None)
+
+
+def _sweep() -> None:
+    """At the end of the program, delete the scratch tables that results were read from."""
+    for path, spark in _left.items():
+        if spark.sparkContext._jsc is not None:
+            _delete(spark, path)
 
 
 def rows_with_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id", limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -61,11 +81,25 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id", limit: i
     return docs.join(ids, key, "left_semi")
 
 
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow``, after which the worker, which waits for further tasks, gives back what the task has freed."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return df.mapInArrow(tidy, schema)
+
+
 class WordHashes(dict):
     """64-bit hash of each word (bytes), remembered between documents."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h

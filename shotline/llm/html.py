@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import arrow_map
+
 #: Function words of the languages that pages come in (fixed lists).
 STOP_WORDS = frozenset(
     """a an and are as at be been but by can do for from had has have he her his i if in is it its more no not of on or our she so than that the
@@ -234,7 +236,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     src = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
     kind = lambda c: src.schema[c].dataType.simpleString()
-    return src.mapInArrow(_extract, f"page_id {kind('page_id')}, url {kind('url')}, text string, n_chars bigint")
+    return src.transform(arrow_map, _extract, f"page_id {kind('page_id')}, url {kind('url')}, text string, n_chars bigint")
 
 
 def op1_html(spark, sf_dir: str) -> DataFrame:

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import arrow_map
+
 DIM, N, SEED = 1024, 3, 11
 #: Training documents of a language, about: a hash picks this share of those that may be learned from.
 SAMPLE = 600
@@ -96,7 +98,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]
     rows = docs.where("lang is not null and text is not null").select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample)) / F.count("*")).alias("share"))
     picked = rows.join(F.broadcast(share.limit(10_000)), "lang").where((F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 20)) <= F.col("share") * (1 << 20)))
-    sums = picked.select("lang", "text").mapInArrow(_sums, "lang string, v array<bigint>").select("lang", F.posexplode("v")).groupBy("lang", "pos").agg(F.sum("col").alias("v"))
+    sums = picked.select("lang", "text").transform(arrow_map, _sums, "lang string, v array<bigint>").select("lang", F.posexplode("v")).groupBy("lang", "pos").agg(F.sum("col").alias("v"))
     got: dict[str, np.ndarray] = {}
     for lang, pos, v in sums.collect():
         got.setdefault(lang, np.zeros(DIM))[pos] = v
@@ -134,7 +136,7 @@ def predict(docs: DataFrame, names: list[str], protos: np.ndarray) -> DataFrame:
     Without letters (or without anything learned) the language is ``und`` and the score 0.
     """
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return src.mapInArrow(_predict(names, protos), "doc_id bigint, lang_pred string, score double")
+    return src.transform(arrow_map, _predict(names, protos), "doc_id bigint, lang_pred string, score double")
 
 
 def op3_language(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, discard, mix, rows_with_ids, settle, shingle_hashes, words_of
+from .common import WordHashes, arrow_map, discard, mix, rows_with_ids, settle, shingle_hashes, words_of
 from .graph import components
 
 #: The universe that shingles fall into; coordinates of a signature at most; odds that a pair at the threshold misses every band.
@@ -118,7 +118,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     leaders = size.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
     leaders = leaders.join(sets, F.col("a") == F.col("id")).select("a", "salt", F.lit(None).cast("bigint").alias("b"), "shingles")
     rows = members.union(leaders).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return rows.mapInArrow(_star_links(percent), "a bigint, b bigint")
+    return rows.transform(arrow_map, _star_links(percent), "a bigint, b bigint")
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +136,7 @@ def _rare_first(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     shingles, so a large group of them makes few pairs, and no similar pair is lost.
     """
     flat = rows_with_ids(sets.withColumnRenamed("id", "doc_id"), classes.select(F.col("id").alias("doc_id")))
-    flat = flat.dropDuplicates(["doc_id"]).mapInArrow(_tokens, "id bigint, n bigint, t array<bigint>").select("id", "n", F.explode("t").alias("t"))
+    flat = flat.dropDuplicates(["doc_id"]).transform(arrow_map, _tokens, "id bigint, n bigint, t array<bigint>").select("id", "n", F.explode("t").alias("t"))
     often = flat.groupBy("t").agg(F.count("*").alias("f"))
     ranked = flat.join(often, "t").withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("f", "t")))
     probe = F.col("n") - F.expr(f"(n * {percent} + 99) div 100") + 1
@@ -168,7 +168,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     columns are not read.  An empty table gives an empty one.
     """
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = settle(src.mapInArrow(_sketch(*banding(percent)), "doc_id bigint, h1 bigint, h2 bigint, n_shingles bigint, bands array<bigint>"))
+    sketch = settle(src.transform(arrow_map, _sketch(*banding(percent)), "doc_id bigint, h1 bigint, h2 bigint, n_shingles bigint, bands array<bigint>"))
     whole = sketch.where("doc_id is not null and n_shingles > 0")
     nodes = settle(whole.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
     entries = nodes.select("id", "n", F.explode("bands").alias("key"))
@@ -176,7 +176,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     met = settle(entries.join(shared, "key"))
     fits = f"id <> lead and 100 * least(n, lead_n) >= {percent} * greatest(n, lead_n)"
     pairs = settle(met.where(fits).select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct())
-    sets = settle(rows_with_ids(src, met.select(F.col("id").alias("doc_id"))).mapInArrow(_sets, "id bigint, shingles binary"))
+    sets = settle(rows_with_ids(src, met.select(F.col("id").alias("doc_id"))).transform(arrow_map, _sets, "id bigint, shingles binary"))
     stars = settle(confirm(pairs, sets, percent))
     first = components(stars)
     own = met.join(first, met["id"] == first["node"], "left").select("key", "id", F.coalesce("component", "id").alias("c"))

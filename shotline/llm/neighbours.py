@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, settle
+from .common import arrow_map, discard, settle
 from .graph import components
 
 log = logging.getLogger(__name__)
@@ -139,10 +139,10 @@ _PAIRS = "id bigint, nbr bigint, sim float"
 
 def _seeded(vectors: DataFrame, count: int, k: int) -> DataFrame:
     bits = max(0, math.ceil(math.log2(max(count, 1) / CELL)))
-    cells = settle(vectors.mapInArrow(_cells(bits), "t int, dim int, key bigint, id bigint, v binary"))
+    cells = settle(vectors.transform(arrow_map, _cells(bits), "t int, dim int, key bigint, id bigint, v binary"))
     rows = _split(cells, ["t", "dim", "key"], 2 * CELL, 0).select("t", "dim", "key", "part", "id", "v", F.lit(-2.0).cast("float").alias("last"))
     rows = rows.repartition("t", "dim", "key", "part").sortWithinPartitions("t", "dim", "key", "part")
-    out = settle(_best(rows.mapInArrow(_local_join(4, k), _PAIRS), k))
+    out = settle(_best(rows.transform(arrow_map, _local_join(4, k), _PAIRS), k))
     discard(cells)
     return out
 
@@ -154,7 +154,7 @@ def _descend(lists: DataFrame, vectors: DataFrame, k: int, number: int) -> DataF
     met = lists.select(F.col("id").alias("mid"), F.col("nbr").alias("id")).union(lists.select(F.col("nbr").alias("mid"), "id")).distinct()
     rows = _split(met, ["mid"], JOIN, number).join(small, "id").select("mid", "part", "dim", "id", "v", "last")
     rows = rows.repartition("mid", "part").sortWithinPartitions("mid", "part", "dim")
-    return _best(lists.union(rows.mapInArrow(_local_join(3, k), _PAIRS)), k)
+    return _best(lists.union(rows.transform(arrow_map, _local_join(3, k), _PAIRS)), k)
 
 
 def _narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +193,7 @@ def _exact_counts(vectors: DataFrame, classes: DataFrame, threshold: float) -> D
     rows = rows.join(vectors, F.col("node") == F.col("id")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("component", F.least("side", "other").alias("a"), F.greatest("side", "other").alias("b"), "dim", "side", "id", "w", "v")
     rows = rows.repartition("component", "a", "b", "dim").sortWithinPartitions("component", "a", "b", "dim")
-    return rows.mapInArrow(_counts(threshold), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return rows.transform(arrow_map, _counts(threshold), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def _against_all(queries: list[tuple[int, bytes]], threshold: float):
@@ -217,7 +217,7 @@ def _against_all(queries: list[tuple[int, bytes]], threshold: float):
 def _recall(vectors: DataFrame, classes: DataFrame, threshold: float) -> float:
     """Share of the true links of AUDIT vectors, picked by hash, that lie inside components."""
     queries = [tuple(r) for r in vectors.select("id", "v").orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(AUDIT).collect()]
-    links = vectors.select("id", "v").mapInArrow(_against_all([(i, bytes(v)) for i, v in queries], threshold), "q bigint, id bigint").where("q <> id")
+    links = vectors.select("id", "v").transform(arrow_map, _against_all([(i, bytes(v)) for i, v in queries], threshold), "q bigint, id bigint").where("q <> id")
     of = lambda name: classes.select(F.col("node").alias(name), F.col("component").alias(f"{name}_c"))
     got = links.join(of("q"), "q", "left").join(of("id"), "id", "left").agg(F.count("*"), F.count_if(F.col("q_c") == F.col("id_c"))).first()
     return got[1] / got[0] if got[0] else 1.0
@@ -243,10 +243,10 @@ def near_duplicates(table: DataFrame, threshold: float = 0.9) -> DataFrame:
     are not read.
     """
     src = table.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"))
-    unit = settle(src.mapInArrow(_unit, "id bigint, v binary"))
+    unit = settle(src.transform(arrow_map, _unit, "id bigint, v binary"))
     copies = unit.groupBy("v").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("w"))
     wide = settle(copies.select(F.col("rep").alias("id"), "v", "w", (F.octet_length("v") / 8).cast("int").alias("dim")).dropDuplicates(["id"]))
-    vectors = settle(wide.select("id", "v").mapInArrow(_narrow, "id bigint, v binary, dim int"))
+    vectors = settle(wide.select("id", "v").transform(arrow_map, _narrow, "id bigint, v binary, dim int"))
     count = wide.count()
     k, lists = K, _seeded(wide.select("id", "v"), count, K)
     for doubling in range(DOUBLINGS + 1):
@@ -289,7 +289,7 @@ def _confirmed(pairs: DataFrame, wide: DataFrame, threshold: float) -> DataFrame
     """Edges whose cosine in double precision reaches the threshold."""
     one = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     both = one.join(wide.select(F.col("id").alias("a"), F.col("v").alias("x")), "a").join(wide.select(F.col("id").alias("b"), F.col("v").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(_dots(threshold), "a bigint, b bigint")
+    return both.select("a", "b", "x", "y").transform(arrow_map, _dots(threshold), "a bigint, b bigint")
 
 
 def op6_embedding_dedup(spark, sf_dir: str) -> DataFrame:

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import arrow_map
+
 KINDS = ("email", "ip", "card", "phone")
 #: Labels of a token: 0 is none, then KINDS.
 LABELS = 1 + len(KINDS)
@@ -187,7 +189,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
     ids = rows.select("doc_id", F.xxhash64(F.lit(SEED), "doc_id").alias("h")).orderBy("h", "doc_id").limit(sample)
     g = Graph()
-    texts = rows.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi").mapInArrow(_windows, "doc_id bigint, text string").collect()
+    texts = rows.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi").transform(arrow_map, _windows, "doc_id bigint, text string").collect()
     for k, (_, text) in enumerate(sorted((d or 0, t) for d, t in texts)):
         g.add(k, text, base_spans(text))
     if not g.docs:
@@ -259,7 +261,7 @@ def detect(docs: DataFrame, field: Field | None) -> DataFrame:
     none.  Repeated rows give repeated rows; other columns are not read.
     """
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return src.mapInArrow(_detect(field), "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string")
+    return src.transform(arrow_map, _detect(field), "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string")
 
 
 def blank_out(text: str, spans) -> str:
@@ -292,7 +294,7 @@ def redact(docs: DataFrame, field: Field | None) -> DataFrame:
                     cols[k] = pa.array([o if n == t else len(n) for o, n, t in zip(old, new, texts, strict=True)], part.schema.field(k).type)
                 yield pa.RecordBatch.from_arrays(cols, schema=part.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(arrow_map, run, docs.schema)
 
 
 def op5_pii(spark, sf_dir: str) -> DataFrame:

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import arrow_map
+
 #: Words of a passage; labelled documents that a fit uses at most; documents with a score below CUT are rejected.
 PASSAGE, SAMPLE, CUT, SEED = 128, 3_000, 0.3, 5
 _CLASSES = 16
@@ -117,7 +119,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     quality = {d: q for d, q in rows.collect()}
     ids = docs.sparkSession.createDataFrame([(d,) for d in quality], "doc_id bigint")
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    got = src.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(_bags, "doc_id bigint, x binary").collect()
+    got = src.join(F.broadcast(ids), "doc_id", "left_semi").transform(arrow_map, _bags, "doc_id bigint, x binary").collect()
     got = sorted({d: bytes(x) for d, x in got}.items())
     y = np.array([float(quality[d] > 0) for d, _ in got])
     if not (y == 0).any() or not (y == 1).any():
@@ -146,7 +148,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     Repeated rows are scored alike; other columns are not read.
     """
     src = docs.select(F.lit(None).cast("int").alias("unused"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("bigint").alias("doc_id"))
-    return src.mapInArrow(_scored(model), "score double, doc_id bigint").select("doc_id", "score")
+    return src.transform(arrow_map, _scored(model), "score double, doc_id bigint").select("doc_id", "score")
 
 
 def keep_good(docs: DataFrame, model: Model | None, cut: float = CUT) -> DataFrame:
@@ -161,7 +163,7 @@ def keep_good(docs: DataFrame, model: Model | None, cut: float = CUT) -> DataFra
                 scores = model.score([passages(t.as_py()) for t in part.column(at)]) if model else np.ones(part.num_rows)
                 yield part.filter(pa.array(scores >= cut))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(arrow_map, run, docs.schema)
 
 
 def held_out():
