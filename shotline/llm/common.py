@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Ids sent to every executor at most; beyond it the same join runs as a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: What a worker is handed at once: rows of long texts come a few at a time.
+BATCH_BYTES, _BATCH_BYTES = "16m", "spark.sql.execution.arrow.maxBytesPerBatch"
 _left: dict[str, SparkSession] = {}
 
 
@@ -92,6 +94,9 @@ def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
             with contextlib.suppress(OSError, AttributeError):  # not every C library has it
                 ctypes.CDLL(None).malloc_trim(0)
 
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_BYTES, None) == "67108864b":  # unless the session says otherwise
+        conf.set(_BATCH_BYTES, BATCH_BYTES)
     return df.mapInArrow(tidy, schema)
 
 
