@@ -11,13 +11,17 @@ def overlaps(start: Column, end: Column, lo, hi) -> Column:
     return (start < F.lit(hi)) & (end > F.lit(lo))
 
 
-def interval_join(left: DataFrame, right: DataFrame, key: str, *, start: str = "start_ms", end: str = "end_ms", bucket_ms: int = 600_000) -> DataFrame:
+def interval_join(left: DataFrame, right: DataFrame, key: str, *, start: str = "start_ms", end: str = "end_ms", bucket_ms: int | None = None) -> DataFrame:
     """Rows of ``left`` and ``right`` of one key whose closed intervals meet.
 
     Both sides are spread over the time buckets they touch and joined on key and bucket, so
     a key with very many rows is many small joins; a pair is taken in its first common
-    bucket only.  Right columns other than the key get the prefix ``r_``.
+    bucket only.  Without ``bucket_ms`` the buckets are four mean intervals of the longer side,
+    so that most intervals touch one or two.  Right columns other than the key get the prefix ``r_``.
     """
+    if bucket_ms is None:
+        mean = [df.agg(F.avg(F.col(end) - F.col(start))).first()[0] or 0 for df in (left, right)]
+        bucket_ms = max(1, int(4 * max(mean)))
     spread = lambda df, a, b: df.withColumn("_b", F.explode(F.sequence(F.floor(F.col(a) / bucket_ms), F.floor(F.greatest(a, b) / bucket_ms))))
     r = right.select(key, *(F.col(c).alias(f"r_{c}") for c in right.columns if c != key))
     pairs = spread(left, start, end).join(spread(r, f"r_{start}", f"r_{end}"), [key, "_b"])
