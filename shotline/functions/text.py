@@ -24,8 +24,8 @@ _FOLD = {stroke: _fold_tables(stroke) for stroke in (False, True)}
 
 
 def strip_diacritics(c: Column, stroke: bool = True) -> Column:
-    """Letters without their marks; ``stroke`` folds the crossed d as well."""
-    return F.translate(c, *_FOLD[stroke])
+    """Letters without their marks; ``stroke`` folds the crossed d as well.  Plain ASCII is passed through."""
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(c, *_FOLD[stroke])).otherwise(c)
 
 
 def unaccented(c: Column) -> Column:
