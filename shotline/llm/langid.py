@@ -93,7 +93,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Prototypes of the languages of ``docs(doc_id, text, lang)``: names, and centred unit vectors.
 
-    About ``sample`` documents a language are used, picked by a hash of doc_id.
+    About ``sample`` documents a language are used, picked by a hash of doc_id; 10,000 languages at most.
     """
     rows = docs.where("lang is not null and text is not null").select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample)) / F.count("*")).alias("share"))

@@ -17,8 +17,9 @@ from .graph import components
 log = logging.getLogger(__name__)
 #: Neighbours a list starts with; random partitions that seed the lists; rows of a cell; members that one local join takes; rows of an exact block.
 K, TABLES, CELL, JOIN, BLOCK = 8, 6, 256, 64, 512
-#: Most rounds of descent; share of list places that must change for another; vectors that the audit compares with all rows; recall below which lists are doubled; doublings.
-ROUNDS, CHANGE, AUDIT, RECALL, DOUBLINGS, SEED = 5, 0.02, 128, 0.97, 2, 13
+#: Most rounds of descent; gain of the mean similarity of list places below which a round is the last; vectors that the audit
+#: compares with all rows; recall below which lists are doubled; doublings.
+ROUNDS, GAIN, AUDIT, RECALL, DOUBLINGS, SEED = 5, 0.0002, 128, 0.97, 2, 13
 #: What float32 may be off.
 SLACK = 1e-4
 
@@ -257,7 +258,7 @@ def near_duplicates(table: DataFrame, threshold: float = 0.9) -> DataFrame:
             discard(lists)
             lists, gain = new, math.inf if before is None else (state[0] or 0) - (before[0] or 0)
             before = state
-            if gain <= CHANGE * 0.1 * max(state[1], 1) * 0.1:
+            if gain <= GAIN * max(state[1], 1):
                 break
         near = lists.where(F.col("sim") >= threshold - SLACK).select(F.col("id").alias("a"), F.col("nbr").alias("b"))
         edges = settle(_confirmed(near, wide, threshold))
@@ -273,7 +274,9 @@ def near_duplicates(table: DataFrame, threshold: float = 0.9) -> DataFrame:
     of_row = unit.dropDuplicates(["id"]).join(found, "v").select(F.col("id").alias("vec_id"), "n_links", "component_id")
     out = src.select("vec_id").join(of_row, "vec_id", "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return settle(out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))))
+    out = settle(out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))))
+    discard(unit, wide, vectors, lists, edges, classes)
+    return out
 
 
 def _dots(threshold: float):
