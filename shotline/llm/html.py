@@ -41,6 +41,8 @@ _BAD = re.compile(
     re.I,
 )
 _GOOD = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|main|content|body)(?:$|[\s_-])", re.I)
+#: The same on an article element: not the article of the page.
+_OTHER_ARTICLE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|comments?|promo\w*|related|repl(?:y|ies)|sponsor\w*|teasers?)(?:$|[\s_-])", re.I)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
@@ -56,14 +58,14 @@ _TAIL = re.compile(r"&#?[A-Za-z0-9]{0,10}\Z")
 class Block:
     __slots__ = ("text", "links", "parent", "inside", "vetoed", "heading", "prose", "label")
 
-    def __init__(self, text: str, links: int, parent: int, inside: bool, vetoed: bool, heading: bool, prose: bool):
+    def __init__(self, text: str, links: int, parent: int, inside: int, vetoed: bool, heading: bool, prose: bool):
         self.text, self.links, self.parent, self.inside, self.vetoed, self.heading, self.prose, self.label = text, links, parent, inside, vetoed, heading, prose, None
 
 
 def blocks_of(html: str) -> list[Block]:
     """Text blocks in page order.  A block ends at any block element and at two line breaks in a row."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # name, vetoed, inside the article, number of the section
+    stack: list[tuple[str, bool, int, int]] = []  # name, vetoed, inside (1: the main part, 2: an article), number of the section
     parts: list[tuple[str, bool]] = []
     links = breaks = sections = 0
     pos, end = 0, len(html)
@@ -76,7 +78,7 @@ def blocks_of(html: str) -> list[Block]:
             text = " ".join(entities.unescape(raw).split())
             if text:
                 linked = sum(len(" ".join(entities.unescape(x).split())) for x, a in parts if a)
-                _, vetoed, inside, section = stack[-1] if stack else ("", False, False, 0)
+                _, vetoed, inside, section = stack[-1] if stack else ("", False, 0, 0)
                 out.append(Block(text, linked, section, inside, vetoed, heading, heading or bool(stack) and stack[-1][0] == "p"))
             parts = []
         heading = False
@@ -127,20 +129,20 @@ def blocks_of(html: str) -> list[Block]:
             continue
         if name not in _BLOCK and name != "span" and name not in _SKIP:
             continue
-        _, vetoed, inside, section = stack[-1] if stack else ("", False, False, 0)
+        _, vetoed, inside, section = stack[-1] if stack else ("", False, 0, 0)
         marks = {}
         if m["attrs"]:
             marks = {k.lower(): a or b or c or "" for k, a, b, c in _ATTR.findall(m["attrs"])}
         named = f"{marks.get('class', '')} {marks.get('id', '')} {marks.get('role', '')}"
         article = name in ("article", "main") or marks.get("role") in ("main", "article")
-        if name in _SKIP or (name == "header" and not inside):
+        if name in _SKIP or (name == "header" and not inside) or (name == "article" and _OTHER_ARTICLE.search(named)):
             vetoed = True
         elif not article and name not in ("html", "body", "p", *_HEADINGS) and _BAD.search(named) and not (_GOOD.search(named) and not re.search(r"comment|side|foot|nav|menu|relat|share", named, re.I)):
             vetoed = True
         elif "display:none" in marks.get("style", "").replace(" ", "").lower() or "hidden" in marks or marks.get("aria-hidden") == "true":
             vetoed = True
         if article and not vetoed:
-            inside = True
+            inside = max(inside, 2 if name == "article" or marks.get("role") == "article" else 1)
         if name in ("article", "main", "section", "div", "td", "ul", "ol", "table", "aside", "header", "footer", "nav", "form", "body", "blockquote", "dl"):
             sections += 1
             # Quotes and lists belong to the section around them.
@@ -208,10 +210,12 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     blocks = blocks_of(html)
+    held = [sum(len(b.text) - b.links for b in blocks if b.inside >= k and not b.vetoed) for k in (1, 2)]
     if any(b.inside and not b.vetoed for b in blocks):
-        # The page says where its article is.
+        # The page says where its article is: in its article elements, if they hold most of its main part.
+        level = 2 if 2 * held[1] >= held[0] else 1
         for b in blocks:
-            b.vetoed = b.vetoed or not b.inside
+            b.vetoed = b.vetoed or b.inside < level
     for b in blocks:
         b.label = classify(b)
     inherit(blocks)
