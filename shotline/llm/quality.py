@@ -40,7 +40,7 @@ def passages(text: str | None) -> np.ndarray:
     x = _LUT[np.frombuffer(raw, np.uint8)]
     inside = x > 1
     starts = inside & ~np.concatenate([[False], inside[:-1]])
-    # Words here end at any class of white space, as split() has it, but for 0x1c-0x1f, which split() on bytes keeps too.
+    # The bytes that end words are those that split() has: space and 0x09-0x0d.
     at = np.minimum(np.maximum(np.cumsum(starts) - 1, 0) // PASSAGE, n - 1)
     pairs = np.bincount(at[:-1] * 256 + x[:-1] * 16 + x[1:], minlength=n * 256).reshape(n, 256) if len(x) > 1 else np.zeros((n, 256))
     out[:, :256] = np.sqrt(pairs / np.maximum(pairs.sum(axis=1, keepdims=True), 1))
