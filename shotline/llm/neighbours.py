@@ -8,17 +8,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, discard, settle
 from .graph import components
 
 log = logging.getLogger(__name__)
-#: Neighbours a list starts with; random partitions that seed the lists; rows of a cell; members that one local join takes; rows of an exact block.
+#: Neighbours a list starts with; random partitions that seed the lists at least, and at once; rows of a cell; members that one local join takes; rows of an exact block.
 K, TABLES, CELL, JOIN, BLOCK = 8, 6, 256, 64, 512
+#: Odds at which a pair of the threshold's cosine shares a seed cell, at least; rows of a block where all rows are compared.
+ODDS, WIDE_BLOCK = 0.98, 2048
 #: Most rounds of descent; gain of the mean similarity of list places below which a round is the last; vectors that the audit
-#: compares with all rows; recall below which lists are doubled; doublings.
+#: compares with all rows; recall below which lists are doubled; doublings, after which all rows are compared.
 ROUNDS, GAIN, AUDIT, RECALL, DOUBLINGS, SEED = 5, 0.0002, 128, 0.97, 2, 13
 #: What float32 may be off.
 SLACK = 1e-4
@@ -73,8 +75,8 @@ def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], ["id", "v"])
 
 
-def _cells(bits: int):
-    """For each table, the cell of a vector: its sides of ``bits`` random hyperplanes."""
+def _cells(bits: int, first: int, tables: int):
+    """For each of ``tables`` tables from ``first``, the cell of a vector: its sides of ``bits`` random hyperplanes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
@@ -85,12 +87,12 @@ def _cells(bits: int):
                 at = np.flatnonzero(dims == dim)
                 x = np.frombuffer(b"".join(raw[i] for i in at), np.float64).reshape(len(at), dim).astype(np.float32)
                 if dim not in planes:
-                    planes[dim] = np.random.default_rng([SEED, dim]).standard_normal((TABLES, bits, dim)).astype(np.float32)
+                    planes[dim] = np.random.default_rng([SEED, dim, first]).standard_normal((tables, bits, dim)).astype(np.float32)
                 small = [r.tobytes() for r in x]
                 ids = batch.column(0).take(pa.array(at))
-                for t in range(TABLES):
+                for t in range(tables):
                     key = ((x @ planes[dim][t].T) > 0) @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(x), np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t), pa.int32()), pa.array(np.full(len(x), dim), pa.int32()), pa.array(key, pa.int64()), ids, pa.array(small, pa.binary())], ["t", "dim", "key", "id", "v"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), first + t), pa.int32()), pa.array(np.full(len(x), dim), pa.int32()), pa.array(key, pa.int64()), ids, pa.array(small, pa.binary())], ["t", "dim", "key", "id", "v"])
 
     return run
 
@@ -129,23 +131,36 @@ def _best(pairs: DataFrame, k: int) -> DataFrame:
     return one.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("sim"), "nbr"))).where(f"r <= {k}").select("id", "nbr", "sim")
 
 
-def _split(rows: DataFrame, keys: list[str], most: int, salt: int) -> DataFrame:
+def _split(rows: DataFrame, keys: list[str], most: int, salt: Column) -> DataFrame:
     """Groups of more than ``most`` rows are dealt to several parts by a hash that differs with ``salt``."""
     size = rows.groupBy(*keys).agg(F.ceil(F.count("*") / most).alias("parts"))
-    return rows.join(size, keys).withColumn("part", F.pmod(F.xxhash64(F.lit(salt), "id"), F.col("parts")).cast("int")).drop("parts")
+    return rows.join(size, keys).withColumn("part", F.pmod(F.xxhash64(salt, "id"), F.col("parts")).cast("int")).drop("parts")
 
 
 _PAIRS = "id bigint, nbr bigint, sim float"
 
 
-def _seeded(vectors: DataFrame, count: int, k: int) -> DataFrame:
-    bits = max(0, math.ceil(math.log2(max(count, 1) / CELL)))
-    cells = settle(vectors.transform(arrow_map, _cells(bits), "t int, dim int, key bigint, id bigint, v binary"))
-    rows = _split(cells, ["t", "dim", "key"], 2 * CELL, 0).select("t", "dim", "key", "part", "id", "v", F.lit(-2.0).cast("float").alias("last"))
-    rows = rows.repartition("t", "dim", "key", "part").sortWithinPartitions("t", "dim", "key", "part")
-    out = settle(_best(rows.transform(arrow_map, _local_join(4, k), _PAIRS), k))
-    discard(cells)
-    return out
+def _bits(count: int) -> int:
+    return max(0, math.ceil(math.log2(max(count, 1) / CELL)))
+
+
+def _tables(count: int, threshold: float) -> int:
+    """Tables in which a pair of cosine ``threshold`` shares a cell at least once with odds of ODDS: the more vectors, the more."""
+    one = (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** _bits(count)
+    return TABLES if one >= 1 else max(TABLES, math.ceil(math.log(1 - ODDS) / math.log1p(-max(one, 1e-9))))
+
+
+def _seeded(vectors: DataFrame, count: int, k: int, tables: range, lists: DataFrame | None = None) -> DataFrame:
+    """``lists`` with the nearest of the cells of ``tables``, TABLES of them at once."""
+    for first in tables[::TABLES]:
+        cells = settle(vectors.transform(arrow_map, _cells(_bits(count), first, min(TABLES, tables.stop - first)), "t int, dim int, key bigint, id bigint, v binary"))
+        rows = _split(cells, ["t", "dim", "key"], 2 * CELL, F.col("t")).select("t", "dim", "key", "part", "id", "v", F.lit(-2.0).cast("float").alias("last"))
+        rows = rows.repartition("t", "dim", "key", "part").sortWithinPartitions("t", "dim", "key", "part")
+        found = rows.transform(arrow_map, _local_join(4, k), _PAIRS)
+        new = settle(_best(found if lists is None else lists.union(found), k))
+        discard(cells, *([] if lists is None else [lists]))
+        lists = new
+    return lists
 
 
 def _descend(lists: DataFrame, vectors: DataFrame, k: int, number: int) -> DataFrame:
@@ -153,7 +168,7 @@ def _descend(lists: DataFrame, vectors: DataFrame, k: int, number: int) -> DataF
     last = lists.groupBy("id").agg(F.min("sim").alias("low"), F.count("*").alias("n")).select("id", F.when(F.col("n") >= k, F.col("low")).otherwise(F.lit(-2.0)).cast("float").alias("last"))
     small = vectors.join(last, "id", "left").select("id", "v", "dim", F.coalesce("last", F.lit(-2.0)).cast("float").alias("last"))
     met = lists.select(F.col("id").alias("mid"), F.col("nbr").alias("id")).union(lists.select(F.col("nbr").alias("mid"), "id")).distinct()
-    rows = _split(met, ["mid"], JOIN, number).join(small, "id").select("mid", "part", "dim", "id", "v", "last")
+    rows = _split(met, ["mid"], JOIN, F.lit(number)).join(small, "id").select("mid", "part", "dim", "id", "v", "last")
     rows = rows.repartition("mid", "part").sortWithinPartitions("mid", "part", "dim")
     return _best(lists.union(rows.transform(arrow_map, _local_join(3, k), _PAIRS)), k)
 
@@ -197,6 +212,46 @@ def _exact_counts(vectors: DataFrame, classes: DataFrame, threshold: float) -> D
     return rows.transform(arrow_map, _counts(threshold), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
+def _forests(threshold: float):
+    """Within each pair of blocks, edges that join what the links join: one at most for each vector, not one for each link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches, 3):
+            ids, side, x = group.column("id").to_numpy(), group.column("side").to_numpy(), _matrix(group.column("v"), np.float64)
+            one, two = np.flatnonzero(side == group.column("a")[0].as_py()), np.flatnonzero(side == group.column("b")[0].as_py())
+            if not len(one) or not len(two):
+                continue
+            hit = (x[one] @ x[two].T) >= threshold
+            fresh, left, right = hit.any(axis=1), [], []
+            for root in range(len(one)):
+                if not fresh[root]:
+                    continue
+                rows, reached = np.array([root]), np.zeros(len(two), bool)
+                fresh[root] = False
+                while len(rows):
+                    cols = np.flatnonzero(hit[rows].any(axis=0) & ~reached)
+                    reached[cols] = True
+                    rows = np.flatnonzero(hit[:, cols].any(axis=1) & fresh)
+                    fresh[rows] = False
+                    right.append(ids[one[rows]])
+                right.append(ids[two[reached]])
+                left.append(np.full(sum(map(len, right)) - sum(map(len, left)), ids[one[root]]))
+            if left:
+                a, b = np.concatenate(left), np.concatenate(right)
+                yield pa.RecordBatch.from_arrays([pa.array(a[a != b], pa.int64()), pa.array(b[a != b], pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _all_edges(wide: DataFrame, count: int, threshold: float) -> DataFrame:
+    """Edges with the components of all links, by comparing every vector with every other in blocks of WIDE_BLOCK."""
+    blocks = max(1, math.ceil(count / WIDE_BLOCK))
+    rows = wide.select("id", "v", "dim", F.pmod(F.xxhash64(F.lit(77), "id"), F.lit(blocks)).cast("int").alias("side")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    rows = rows.select(F.least("side", "other").alias("a"), F.greatest("side", "other").alias("b"), "dim", "side", "id", "v")
+    rows = rows.repartition("a", "b", "dim").sortWithinPartitions("a", "b", "dim")
+    return rows.transform(arrow_map, _forests(threshold), "a bigint, b bigint")
+
+
 def _against_all(queries: list[tuple[int, bytes]], threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_dim: dict[int, list] = {}
@@ -236,7 +291,8 @@ def near_duplicates(table: DataFrame, threshold: float = 0.9) -> DataFrame:
     3. Edges of the threshold make components.  Where lists are saturated (all of a list's
        places are links) they are enlarged to the whole component, compared in blocks.
     4. An audit compares some vectors with all rows; while it finds too few of their
-       links, lists are doubled and descend again.
+       links, lists are doubled, seeded in as many new cells, and descend again.  Where that
+       does not help after DOUBLINGS, all vectors are compared with all, in blocks.
 
     Vectors that are null, empty or zero, or have null or non-finite components, link with
     nothing; neither do vectors of different lengths.  A null vec_id has no component
@@ -249,7 +305,8 @@ def near_duplicates(table: DataFrame, threshold: float = 0.9) -> DataFrame:
     wide = settle(copies.select(F.col("rep").alias("id"), "v", "w", (F.octet_length("v") / 8).cast("int").alias("dim")).dropDuplicates(["id"]))
     vectors = settle(wide.select("id", "v").transform(arrow_map, _narrow, "id bigint, v binary, dim int"))
     count = wide.count()
-    k, lists = K, _seeded(wide.select("id", "v"), count, K)
+    tables = _tables(count, threshold)
+    k, lists = K, _seeded(wide.select("id", "v"), count, K, range(tables))
     for doubling in range(DOUBLINGS + 1):
         before = None
         for number in range(ROUNDS):
@@ -265,9 +322,16 @@ def near_duplicates(table: DataFrame, threshold: float = 0.9) -> DataFrame:
         classes = settle(components(edges))
         recall = _recall(wide, classes, threshold)
         log.info("lists of %d: recall %.4f of the audited links", k, recall)
-        if recall >= RECALL or doubling == DOUBLINGS:
+        if recall >= RECALL:
             break
-        k *= 2
+        discard(edges, classes)
+        if doubling < DOUBLINGS:
+            k *= 2
+            lists = _seeded(wide.select("id", "v"), count, k, range((doubling + 1) * tables, (doubling + 2) * tables), lists)
+    else:
+        log.warning("recall %.4f with lists of %d: all %d vectors are compared", recall, k, count)
+        edges = settle(_all_edges(wide, count, threshold))
+        classes = settle(components(edges))
     links = _exact_counts(wide, classes, threshold)
     found = wide.select("id", "v", "w").join(links, "id", "left").join(classes.withColumnRenamed("node", "id"), "id", "left")
     found = found.select("v", (F.coalesce("n", F.lit(0)) + F.col("w") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))

@@ -375,6 +375,25 @@ def test_neighbours_are_brute_force(spark):
     assert neighbours.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_neighbours_that_lists_miss_are_compared(spark, monkeypatch):
+    # Lists of one place cannot hold the groups, and no doubling is left.
+    r = np.random.default_rng(5)
+    x = np.repeat(r.normal(size=(40, 24)), 25, axis=0) + 0.2 * r.normal(size=(1000, 24))
+    for name, value in (("K", 1), ("ROUNDS", 1), ("DOUBLINGS", 0), ("WIDE_BLOCK", 300)):
+        monkeypatch.setattr(neighbours, name, value, raising=False)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    links = [(int(a), int(b)) for a, b in np.argwhere(np.triu(u @ u.T >= 0.9, 1))]
+    want, degree = classes(range(1000), links), Counter(i for e in links for i in e)
+    got = neighbours.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")).collect()
+    assert {r["vec_id"]: (r["component_id"], r["n_links"]) for r in got} == {i: (want[i], degree[i]) for i in range(1000)}
+
+
+def test_seed_tables_grow_with_the_vectors():
+    p = 1 - np.arccos(0.9) / np.pi
+    for n in (100, 2_000, 200_000, 10_000_000):
+        assert 1 - (1 - p ** neighbours._bits(n)) ** neighbours._tables(n, 0.9) >= neighbours.ODDS
+
+
 # ---- 1: HTML -----------------------------------------------------------------------------------------
 
 
