@@ -19,9 +19,11 @@ log = logging.getLogger(__name__)
 K, TABLES, CELL, JOIN, BLOCK = 8, 6, 256, 64, 512
 #: Odds at which a pair of the threshold's cosine shares a seed cell, at least; rows of a block where all rows are compared.
 ODDS, WIDE_BLOCK = 0.98, 2048
-#: Most rounds of descent; gain of the mean similarity of list places below which a round is the last; vectors that the audit
-#: compares with all rows; recall below which lists are doubled; doublings, after which all rows are compared.
+#: Most rounds of descent; gain of the mean similarity of list places below which a round is the last; vectors with links that the
+#: audit compares with all rows; recall below which lists are doubled; doublings, after which all rows are compared.
 ROUNDS, GAIN, AUDIT, RECALL, DOUBLINGS, SEED = 5, 0.0002, 128, 0.97, 2, 13
+#: Share of the vectors above which a component is large; vectors that the audit compares at once; vectors it draws at most.
+LARGE, PASS, MOST = 0.01, 4096, 65_536
 #: What float32 may be off.
 SLACK = 1e-4
 
@@ -252,31 +254,64 @@ def _all_edges(wide: DataFrame, count: int, threshold: float) -> DataFrame:
     return rows.transform(arrow_map, _forests(threshold), "a bigint, b bigint")
 
 
-def _against_all(queries: list[tuple[int, bytes]], threshold: float):
+def _against_all(queries: list[tuple[int, bytes, int]], threshold: float):
+    """For each of ``queries(id, v, component)``, its links with the rows, and how many of them are in its component."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_dim: dict[int, list] = {}
-        for i, raw in queries:
-            by_dim.setdefault(len(raw), []).append((i, np.frombuffer(raw, np.float64)))
+        for i, raw, c in queries:
+            by_dim.setdefault(len(raw), []).append((i, np.frombuffer(raw, np.float64), c))
+        own = {dim: (np.array([q[0] for q in x]), np.array([q[1] for q in x]), np.array([q[2] for q in x])) for dim, x in by_dim.items()}
+        found = {dim: np.zeros((2, len(x)), np.int64) for dim, x in by_dim.items()}
         for batch in batches:
-            ids, raw = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            ids, raw, component = batch.column(0).to_numpy(), batch.column(1).to_pylist(), batch.column(2).to_numpy()
             sizes = np.array([len(x) for x in raw])
-            for dim, own in by_dim.items():
-                at = np.flatnonzero(sizes == dim)
-                if len(at):
-                    hit = np.frombuffer(b"".join(raw[i] for i in at), np.float64).reshape(len(at), -1) @ np.array([v for _, v in own]).T >= threshold
-                    rows, cols = np.nonzero(hit)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.array([i for i, _ in own])[cols], pa.int64()), pa.array(ids[at[rows]], pa.int64())], ["q", "id"])
+            for dim, (who, x, of) in own.items():
+                every = np.flatnonzero(sizes == dim)
+                for at in np.split(every, range(BLOCK, len(every), BLOCK)):
+                    if len(at):
+                        hit = np.frombuffer(b"".join(raw[i] for i in at), np.float64).reshape(len(at), -1) @ x.T >= threshold
+                        hit &= ids[at][:, None] != who
+                        found[dim] += hit.sum(axis=0), (hit & (component[at][:, None] == of)).sum(axis=0)
+        for dim, (who, _, _) in own.items():
+            yield pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(found[dim][0]), pa.array(found[dim][1])], ["q", "n", "inside"])
 
     return run
 
 
-def _recall(vectors: DataFrame, classes: DataFrame, threshold: float) -> float:
-    """Share of the true links of AUDIT vectors, picked by hash, that lie inside components."""
-    queries = [tuple(r) for r in vectors.select("id", "v").orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(AUDIT).collect()]
-    links = vectors.select("id", "v").transform(arrow_map, _against_all([(i, bytes(v)) for i, v in queries], threshold), "q bigint, id bigint").where("q <> id")
-    of = lambda name: classes.select(F.col("node").alias(name), F.col("component").alias(f"{name}_c"))
-    got = links.join(of("q"), "q", "left").join(of("id"), "id", "left").agg(F.count("*"), F.count_if(F.col("q_c") == F.col("id_c"))).first()
-    return got[1] / got[0] if got[0] else 1.0
+def _shares(part: DataFrame, placed: DataFrame, threshold: float) -> list[float] | None:
+    """Of AUDIT vectors of ``part`` that have links, or of all there are, the share of the links that lie inside components.
+
+    Vectors are drawn by hash until so many had links; None if MOST were too few.
+    """
+    shares, drawn, rest = [], 0, part
+    while len(shares) < AUDIT:
+        if drawn >= MOST:
+            return None
+        queries = rest.orderBy("h", "id").limit(min(max(AUDIT, drawn), PASS)).collect()
+        if not queries:
+            break
+        drawn += len(queries)
+        own = [(r["id"], bytes(r["v"]), r["component"]) for r in queries]
+        links = placed.select("id", "v", "component").transform(arrow_map, _against_all(own, threshold), "q bigint, n bigint, inside bigint")
+        shares += [r["inside"] / r["n"] for r in links.groupBy("q").agg(F.sum("n").alias("n"), F.sum("inside").alias("inside")).where("n > 0").collect()]
+        h, i = queries[-1]["h"], queries[-1]["id"]
+        rest = part.where((F.col("h") > h) | ((F.col("h") == h) & (F.col("id") > i)))
+    return shares
+
+
+def _recall(vectors: DataFrame, classes: DataFrame, threshold: float) -> float | None:
+    """Mean share of a vector's true links that lie inside components: the lower of that of vectors inside large components
+    and that of the others, so that what a large group has found does not cover what small ones have lost.  None if too few
+    of the others that were drawn had links."""
+    placed = vectors.select("id", "v").join(classes.withColumnRenamed("node", "id"), "id", "left")
+    placed = settle(placed.select("id", "v", F.coalesce("component", "id").alias("component"), F.xxhash64(F.lit(SEED), "id").alias("h")))
+    most = max(1, int(LARGE * placed.count()))
+    large = [r[0] for r in placed.groupBy("component").count().where(F.col("count") > most).select("component").collect()]
+    inside = F.col("component").isin(large) if large else F.lit(False)
+    both = [_shares(placed.where(x), placed, threshold) for x in (inside, ~inside)]
+    discard(placed)
+    return None if None in both else min(float(np.mean(x)) if x else 1.0 for x in both)
 
 
 def near_duplicates(table: DataFrame, threshold: float = 0.9) -> DataFrame:
@@ -292,7 +327,8 @@ def near_duplicates(table: DataFrame, threshold: float = 0.9) -> DataFrame:
        places are links) they are enlarged to the whole component, compared in blocks.
     4. An audit compares some vectors with all rows; while it finds too few of their
        links, lists are doubled, seeded in as many new cells, and descend again.  Where that
-       does not help after DOUBLINGS, all vectors are compared with all, in blocks.
+       does not help after DOUBLINGS, or links are too rare for the audit, all vectors are
+       compared with all, in blocks.
 
     Vectors that are null, empty or zero, or have null or non-finite components, link with
     nothing; neither do vectors of different lengths.  A null vec_id has no component
@@ -321,17 +357,17 @@ def near_duplicates(table: DataFrame, threshold: float = 0.9) -> DataFrame:
         edges = settle(_confirmed(near, wide, threshold))
         classes = settle(components(edges))
         recall = _recall(wide, classes, threshold)
-        log.info("lists of %d: recall %.4f of the audited links", k, recall)
-        if recall >= RECALL:
+        log.info("lists of %d: recall %s of the audited vectors", k, recall)
+        if recall is not None and recall >= RECALL:
             break
         discard(edges, classes)
-        if doubling < DOUBLINGS:
-            k *= 2
-            lists = _seeded(wide.select("id", "v"), count, k, range((doubling + 1) * tables, (doubling + 2) * tables), lists)
-    else:
-        log.warning("recall %.4f with lists of %d: all %d vectors are compared", recall, k, count)
-        edges = settle(_all_edges(wide, count, threshold))
-        classes = settle(components(edges))
+        if recall is None or doubling == DOUBLINGS:
+            log.warning("recall %s with lists of %d: all %d vectors are compared", recall, k, count)
+            edges = settle(_all_edges(wide, count, threshold))
+            classes = settle(components(edges))
+            break
+        k *= 2
+        lists = _seeded(wide.select("id", "v"), count, k, range((doubling + 1) * tables, (doubling + 2) * tables), lists)
     links = _exact_counts(wide, classes, threshold)
     found = wide.select("id", "v", "w").join(links, "id", "left").join(classes.withColumnRenamed("node", "id"), "id", "left")
     found = found.select("v", (F.coalesce("n", F.lit(0)) + F.col("w") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))

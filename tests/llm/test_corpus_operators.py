@@ -388,6 +388,30 @@ def test_neighbours_that_lists_miss_are_compared(spark, monkeypatch):
     assert {r["vec_id"]: (r["component_id"], r["n_links"]) for r in got} == {i: (want[i], degree[i]) for i in range(1000)}
 
 
+def test_audit_sees_small_groups_beside_a_large_one(spark):
+    r = np.random.default_rng(8)
+    x = r.normal(size=(720, 24))
+    x[:400] = x[0] + 0.02 * r.normal(size=(400, 24))
+    x[460:520] = x[400:460] + 0.02 * r.normal(size=(60, 24))  # pairs
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    wide = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(x)], "id bigint, v binary")
+    placed = lambda rows: spark.createDataFrame(rows, "node bigint, component bigint")
+    large, pairs = [(i, 0) for i in range(400)], [(i, 400 + (i - 400) % 60) for i in range(400, 520)]
+    assert neighbours._recall(wide, placed(large), 0.9) == 0
+    assert neighbours._recall(wide, placed(large + pairs[:30] + pairs[60:90]), 0.9) == 0.5
+    assert neighbours._recall(wide, placed(large + pairs), 0.9) == 1
+
+
+def test_links_too_rare_for_the_audit(spark, monkeypatch):
+    for name, value in (("K", 1), ("AUDIT", 8), ("MOST", 16)):
+        monkeypatch.setattr(neighbours, name, value, raising=False)
+    x = np.random.default_rng(4).normal(size=(300, 24))
+    x[297:] = x[:3]
+    x[297:] += 0.01
+    got = neighbours.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")).collect()
+    assert {r["vec_id"]: r["component_id"] for r in got if not r["kept"]} == {297: 0, 298: 1, 299: 2}
+
+
 def test_seed_tables_grow_with_the_vectors():
     p = 1 - np.arccos(0.9) / np.pi
     for n in (100, 2_000, 200_000, 10_000_000):
