@@ -75,24 +75,56 @@ def similarity_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="Float64")
 
 
-def match_lines(lines: list[str], slots: list[str], least: float = 0.45) -> dict[int, int]:
-    """Best-first one-to-one matching of lines to slots; of equal ratios the later line, then the later slot."""
-    scored = sorted(((difflib.SequenceMatcher(None, a, b).ratio(), i, j) for i, a in enumerate(lines) for j, b in enumerate(slots)), reverse=True)
+def scored_pairs(lines: list[str], slots: list[str], least: float = 0.45, autojunk: bool = True) -> list[tuple[float, int, int]]:
+    """``(ratio, line, slot)`` of the pairs whose ratio is ``least`` or more; pairs that bounds of the ratio exclude are not compared."""
+    out = []
+    for j, b in enumerate(slots):
+        if b is None:
+            continue
+        m = difflib.SequenceMatcher(None, "", b, autojunk)
+        for i, a in enumerate(lines):
+            if a is None:
+                continue
+            m.set_seq1(a)
+            if m.real_quick_ratio() >= least and m.quick_ratio() >= least and (ratio := m.ratio()) >= least:
+                out.append((ratio, i, j))
+    return out
+
+
+def best_first(scored: list[tuple[float, int, int]]) -> dict[int, int]:
+    """One-to-one matching of scored pairs, the highest ratio first; of equal ratios the later line, then the later slot."""
     out: dict[int, int] = {}
     taken: set[int] = set()
-    for ratio, i, j in scored:
-        if ratio >= least and i not in out and j not in taken:
+    for _, i, j in sorted(scored, reverse=True):
+        if i not in out and j not in taken:
             out[i] = j
             taken.add(j)
     return out
 
 
+def match_lines(lines: list[str], slots: list[str], least: float = 0.45) -> dict[int, int]:
+    """Best-first one-to-one matching of lines to slots; of equal ratios the later line, then the later slot."""
+    return best_first(scored_pairs(lines, slots, least))
+
+
 @F.pandas_udf(T.MapType(T.IntegerType(), T.IntegerType()))
 def matched_lines(lines: pd.Series, slots: pd.Series) -> pd.Series:
     """``match_lines`` on arrays of texts in folded form; a picture has few lines."""
     return pd.Series([match_lines(list(a), list(b)) if a is not None and b is not None else {} for a, b in zip(lines, slots, strict=True)])
 
 
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("ratio", T.DoubleType()), T.StructField("line", T.IntegerType()), T.StructField("slot", T.IntegerType())])))
+def scored_texts(texts: pd.Series, slots: pd.Series) -> pd.Series:
+    """``scored_pairs`` on arrays of long texts: no character is taken for junk because it is frequent."""
+    return pd.Series([[{"ratio": r, "line": i, "slot": j} for r, i, j in scored_pairs(list(a), list(b), autojunk=False)] for a, b in zip(texts, slots, strict=True)])
+
+
+@F.pandas_udf(T.MapType(T.IntegerType(), T.IntegerType()))
+def matched_scores(scored: pd.Series) -> pd.Series:
+    """``best_first`` on arrays of ``ratio, line, slot``."""
+    return pd.Series([best_first([(x["ratio"], x["line"], x["slot"]) for x in s]) for s in scored])
+
+
 def keyframe_statistics(shots: DataFrame, keyframes: DataFrame, timing: DataFrame, key: str = "video_id") -> DataFrame:
     """Per video: shots, keyframes, keyframes a shot, frames a second, rounded for the report."""
     n = shots.groupBy(key).agg(F.count("*").alias("num_shots")).join(keyframes.groupBy(key).agg(F.count("*").alias("total_keyframes")), key, "left").join(timing, key, "left")

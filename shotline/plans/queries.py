@@ -629,12 +629,18 @@ def closed_records(spark, sf):
 
 @query()
 def line_matching(spark, sf):
-    """Greedy matching of the first sentences of each conversation's user turns to those of its replies; not expressible in SQL, tested against its definition."""
+    """Greedy matching of the whole texts of each conversation's user turns to those of its replies; not expressible in SQL, tested against its definition."""
     c = table(spark, sf, "conversations").groupBy("conv_id")
     of = lambda role: F.array_sort(F.collect_list(F.when(F.col("role") == role, F.struct("turn", "text"))))
     g = c.agg(of("user").alias("a"), of("assistant").alias("b"))
-    folded = lambda x: F.transform(F.col(x)["text"], lambda t: X.unaccented(F.substring_index(t, ".", 1)))
-    return g.select("conv_id", F.explode(metrics.matched_lines(folded("a"), folded("b"))).alias("line", "slot"))
+    folded = lambda x: F.transform(F.col(x)["text"], X.unaccented).alias(x)
+    g = g.where((F.size("a") > 0) & (F.size("b") > 0)).select("conv_id", folded("a"), folded("b"))
+    # A long conversation is dealt to many tasks, eight user turns to each.
+    parts = g.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("a") - 1, F.lit(8)))).select("conv_id", "at", F.slice("a", F.col("at") + 1, 8).alias("a"), "b")
+    parts = parts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "conv_id", "at")
+    one = parts.select("conv_id", "at", F.explode(metrics.scored_texts("a", "b")).alias("s"))
+    scored = F.struct(F.col("s.ratio").alias("ratio"), (F.col("s.line") + F.col("at")).alias("line"), F.col("s.slot").alias("slot"))
+    return one.groupBy("conv_id").agg(F.collect_list(scored).alias("s")).select("conv_id", F.explode(metrics.matched_scores("s")).alias("line", "slot"))
 
 
 @query(

@@ -36,6 +36,33 @@ def test_same_as_sql(spark, duck, tmp_path, name):
         assert duck.execute(f"SELECT {cols} FROM {a} EXCEPT ALL SELECT {cols} FROM {b} LIMIT 3").fetchall() == []
 
 
+def test_line_matching_is_brute_force(spark, tmp_path, rows):
+    import difflib
+    import random
+
+    r = random.Random(3)
+    words = ["".join(r.choice("aeinrst") for _ in range(r.randint(2, 7))) for _ in range(60)]
+    text = lambda n: " ".join(r.choice(words) for _ in range(n))
+    turns = []
+    for conv in range(4):
+        tails = [text(60) for _ in range(11)]
+        # Equal first sentences before other texts, other first sentences before equal texts.
+        for i, tail in enumerate(tails):
+            turns.append((conv, 2 * i, "user", f"Same start. {tail}"))
+            turns.append((conv, 2 * i + 1, "assistant", f"{text(3)}. {tails[(i + conv) % 11] if i % 3 else text(60)}"))
+    turns += [(9, 0, "user", "Alone."), (10, 1, "assistant", "Alone.")]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    want = []
+    for conv in range(4):
+        a, b = ([t[3].lower() for t in sorted(turns) if t[0] == conv and t[2] == role] for role in ("user", "assistant"))
+        pairs = sorted(((difflib.SequenceMatcher(None, x, y, False).ratio(), i, j) for i, x in enumerate(a) for j, y in enumerate(b)), reverse=True)
+        while pairs and pairs[0][0] >= 0.45:
+            _, i, j = pairs[0]
+            want.append((conv, i, j))
+            pairs = [p for p in pairs if p[1] != i and p[2] != j]
+    assert len(want) > 20 and rows(entry.queries()["line_matching"](spark, str(tmp_path))) == sorted(want, key=repr)
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["vec_id", "label", "score"]
 
