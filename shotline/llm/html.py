@@ -13,16 +13,22 @@ from pyspark.sql import functions as F
 from .common import arrow_map
 
 #: Function words of the languages that pages come in (fixed lists).
-STOP_WORDS = frozenset(
-    """a an and are as at be been but by can do for from had has have he her his i if in is it its more no not of on or our she so than that the
-    their there they this to was we were what when which who will with you
-    aber als am an auch auf aus bei bin das dem den der des die durch ein eine einen er es für hat ich im in ist mit nach nicht noch nur oder sich sie sind so um und
-    von war wie wir zu zum zur
-    al como con de del el en es esta este ha la las le lo los más me mi no o para pero por que se si sin su sus un una y ya
-    au aux avec ce ces cette dans de des du elle en est et il ils je la le les leur mais ne nous on ou par pas plus pour qui se ses son sont sur une vous""".split()
-)
-#: Share of stop words from which a long block is content by itself, or near it; characters of a short and of a long block; most of its text that may be links.
+STOP_WORDS = {
+    "en": frozenset(
+        """a an and are as at be been but by can do for from had has have he her his i if in is it its more no not of on or our she so than that the
+        their there they this to was we were what when which who will with you""".split()
+    ),
+    "de": frozenset(
+        """aber als am an auch auf aus bei bin das dem den der des die durch ein eine einen er es für hat ich im in ist mit nach nicht noch nur oder sich
+        sie sind so um und von war wie wir zu zum zur""".split()
+    ),
+    "es": frozenset("al como con de del el en es esta este ha la las le lo los más me mi no o para pero por que se si sin su sus un una y ya".split()),
+    "fr": frozenset("au aux avec ce ces cette dans de des du elle en est et il ils je la le les leur mais ne nous on ou par pas plus pour qui se ses son sont sur une vous".split()),
+}
+#: Share of stop words of prose, and of what may be prose; characters of a short and of a long block; most of its text that may be links.
 STOP_HIGH, STOP_LOW, SHORT, LONG, LINKS = 0.12, 0.05, 80, 200, 0.3
+#: Evidence from which a block is content, and below which it is not; what lies between inherits.
+CONTENT, REJECT = 2.0, 0.0
 
 #: Elements whose text is never shown or never prose.
 _RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "title", "xmp", "noframes", "noembed")
@@ -52,20 +58,27 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for name in _RAW}
 _WORD = re.compile(r"[^\W\d_]+")
-_TAIL = re.compile(r"&#?[A-Za-z0-9]{0,10}\Z")
+_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", re.I)
+_RIGHTS = re.compile(r"(?:©|\(c\)\s|copyright\b)", re.I)
 
 
 class Block:
-    __slots__ = ("text", "links", "parent", "inside", "vetoed", "heading", "prose", "label")
+    """A block's text, the characters of it in links, the section it stands in, whether the page marks it as its article
+    (``inside``), whether its element is never prose (``vetoed``) or its class or id is that of something else (``marked``)."""
+
+    __slots__ = ("text", "links", "parent", "inside", "vetoed", "marked", "heading", "stops", "label")
 
-    def __init__(self, text: str, links: int, parent: int, inside: int, vetoed: bool, heading: bool, prose: bool):
-        self.text, self.links, self.parent, self.inside, self.vetoed, self.heading, self.prose, self.label = text, links, parent, inside, vetoed, heading, prose, None
+    def __init__(self, text: str, links: int, parent: int, inside: int, vetoed: bool, marked: bool, heading: bool):
+        self.text, self.links, self.parent, self.inside, self.vetoed, self.marked, self.heading, self.label = text, links, parent, inside, vetoed, marked, heading, None
+        words = _WORD.findall(text.lower())
+        #: Share of stop words, by language.
+        self.stops = {lang: sum(w in STOP_WORDS[lang] for w in words) / len(words) if words else 0.0 for lang in STOP_WORDS}
 
 
 def blocks_of(html: str) -> list[Block]:
     """Text blocks in page order.  A block ends at any block element and at two line breaks in a row."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int, int]] = []  # name, vetoed, inside (1: the main part, 2: an article), number of the section
+    stack: list[tuple[str, bool, bool, int, int]] = []  # name, vetoed, marked, inside (1: the main part, 2: an article), number of the section
     parts: list[tuple[str, bool]] = []
     links = breaks = sections = 0
     pos, end = 0, len(html)
@@ -78,8 +91,8 @@ def blocks_of(html: str) -> list[Block]:
             text = " ".join(entities.unescape(raw).split())
             if text:
                 linked = sum(len(" ".join(entities.unescape(x).split())) for x, a in parts if a)
-                _, vetoed, inside, section = stack[-1] if stack else ("", False, 0, 0)
-                out.append(Block(text, linked, section, inside, vetoed, heading, heading or bool(stack) and stack[-1][0] == "p"))
+                _, vetoed, marked, inside, section = stack[-1] if stack else ("", False, False, 0, 0)
+                out.append(Block(text, linked, section, inside, vetoed, marked, heading))
             parts = []
         heading = False
 
@@ -129,25 +142,27 @@ def blocks_of(html: str) -> list[Block]:
             continue
         if name not in _BLOCK and name != "span" and name not in _SKIP:
             continue
-        _, vetoed, inside, section = stack[-1] if stack else ("", False, 0, 0)
+        _, vetoed, marked, inside, section = stack[-1] if stack else ("", False, False, 0, 0)
         marks = {}
         if m["attrs"]:
             marks = {k.lower(): a or b or c or "" for k, a, b, c in _ATTR.findall(m["attrs"])}
         named = f"{marks.get('class', '')} {marks.get('id', '')} {marks.get('role', '')}"
         article = name in ("article", "main") or marks.get("role") in ("main", "article")
-        if name in _SKIP or (name == "header" and not inside) or (name == "article" and _OTHER_ARTICLE.search(named)):
-            vetoed = True
-        elif not article and name not in ("html", "body", "p", *_HEADINGS) and _BAD.search(named) and not (_GOOD.search(named) and not re.search(r"comment|side|foot|nav|menu|relat|share", named, re.I)):
+        if name in _SKIP or (name == "header" and not inside):
             vetoed = True
         elif "display:none" in marks.get("style", "").replace(" ", "").lower() or "hidden" in marks or marks.get("aria-hidden") == "true":
             vetoed = True
-        if article and not vetoed:
+        if name == "article" and _OTHER_ARTICLE.search(named):
+            marked = True
+        elif not article and name not in ("html", "body", "p", *_HEADINGS) and _BAD.search(named) and not (_GOOD.search(named) and not re.search(r"comment|side|foot|nav|menu|relat|share", named, re.I)):
+            marked = True
+        if article and not vetoed and not marked:
             inside = max(inside, 2 if name == "article" or marks.get("role") == "article" else 1)
         if name in ("article", "main", "section", "div", "td", "ul", "ol", "table", "aside", "header", "footer", "nav", "form", "body", "blockquote", "dl"):
             sections += 1
             # Quotes and lists belong to the section around them.
             section = section if name in ("blockquote", "ul", "ol", "dl") and not vetoed else sections
-        stack.append((name, vetoed, inside, section))
+        stack.append((name, vetoed, marked, inside, section))
     if pos < end:
         # A page may be cut anywhere: what is left of a tag or of a character reference is no text.
         rest = html[pos:end]
@@ -159,26 +174,39 @@ def blocks_of(html: str) -> list[Block]:
     return out
 
 
-def classify(block: Block) -> bool | None:
-    """First pass: content (True), not content (False) or, for lack of evidence, neither."""
-    n = len(block.text)
+def reads(block: Block, lang: str | None) -> float:
+    """What a block's own text says: stop words of the page's language, length, and links."""
+    n, own = len(block.text), block.stops.get(lang, 0.0)
+    score = 0.0
+    if n >= SHORT or block.inside:
+        score += 2.0 if own >= STOP_HIGH else 1.0 if own >= STOP_LOW and n >= SHORT else 0.0
+    if n >= SHORT and lang and own < STOP_LOW and max(block.stops.values()) >= STOP_HIGH:
+        score -= 1.0  # prose of another language than the page's
+    if block.links > LINKS * n and not block.heading:
+        score -= 3.0
+    if _RIGHTS.match(block.text):
+        score -= 3.0
+    return score + (n >= LONG)
+
+
+def classify(block: Block, lang: str | None, trust: float, believe_marks: bool) -> bool | None:
+    """First pass: content (True), not content (False) or, for lack of evidence, neither.
+
+    Markup is evidence beside the text: what stands in the page's article gains up to one
+    point, what stands outside loses up to two (``trust``: how much of the page's prose is
+    in it), and a class of menus, notices, adverts or comments outweighs all the rest.
+    """
     if block.vetoed:
         return False
-    if block.links > LINKS * n:
-        return None if block.inside and block.prose else False
-    words = _WORD.findall(block.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-    if n < SHORT:
-        return None
-    if stops >= STOP_HIGH or (block.inside and n >= LONG) or (stops >= STOP_LOW and n >= LONG):
-        return True
-    return None if stops >= STOP_LOW or block.inside else False
+    score = reads(block, lang) + (trust if block.inside else -2 * trust) - 5 * (block.marked and believe_marks)
+    return True if score >= CONTENT else False if score < REJECT else None
 
 
 def inherit(blocks: list[Block]) -> None:
     """Second pass: undecided blocks take the label of the nearest decided block of their section,
-    or else of the nearest ones on both sides, which must then agree on content (one side is enough
-    within the article).  Of two equally near ones, content wins in the same section."""
+    or else of the nearest ones on both sides, which must then agree on content; a heading may lead content.
+    Of two equally near ones, content wins in the same section.  Blocks of vetoed elements,
+    and lines of links in an article, say nothing of their neighbours."""
     n = len(blocks)
     for own in (True, False):
         before, after, last = [None] * n, [None] * n, {}
@@ -187,7 +215,7 @@ def inherit(blocks: list[Block]) -> None:
             for i in order:
                 key = blocks[i].parent if own else 0
                 near[i] = last.get(key)
-                if blocks[i].label is not None and not blocks[i].vetoed:
+                if blocks[i].label is not None and not blocks[i].vetoed and not (blocks[i].inside and blocks[i].links > LINKS * len(blocks[i].text)):
                     last[key] = i
         new = {}
         for i, b in enumerate(blocks):
@@ -197,28 +225,42 @@ def inherit(blocks: list[Block]) -> None:
             if own:
                 if sides:
                     new[i] = min(sides)[2]
-            elif b.inside:
-                new[i] = True
             else:
                 new[i] = len(sides) == 2 and all(x[2] for x in sides) or (b.heading and after[i] is not None and after[i] - i == 1 and blocks[after[i]].label is True)
         for i, label in new.items():
             blocks[i].label = label
 
 
+def label_blocks(blocks: list[Block], declared: str | None = None) -> None:
+    """Both passes over a page's blocks.  The page's language is the one whose stop words it has most of, or the declared one."""
+    seen = [b for b in blocks if not b.vetoed]
+    weight = {lang: sum(len(b.text) * b.stops[lang] for b in seen if not b.marked) for lang in STOP_WORDS}
+    lang = max(weight, key=weight.get) if any(weight.values()) else declared if declared in STOP_WORDS else None
+    for believe in (True, False):
+        # Classes are doubted only where nothing is left beside them and no article is marked.
+        prose = [(b, len(b.text)) for b in seen if reads(b, lang) >= CONTENT and not (b.marked and believe)]
+        total = sum(n for _, n in prose)
+        trust = 1.0 if not total else sum(n for b, n in prose if b.inside) / total
+        if not any(b.inside for b in seen):
+            trust = 0.0
+        for b in blocks:
+            b.label = classify(b, lang, trust, believe)
+        if any(b.label or b.inside for b in seen) or not any(b.marked for b in seen):
+            break
+    inherit(blocks)
+    if lang and not any(b.label for b in blocks):
+        # Too short for stop words to show: what the page marks as its article is taken, but for links.
+        for b in seen:
+            b.label = b.inside > 0 and not b.marked and b.links <= LINKS * len(b.text)
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks in page order, joined by an empty line."""
     if not html:
         return ""
     blocks = blocks_of(html)
-    held = [sum(len(b.text) - b.links for b in blocks if b.inside >= k and not b.vetoed) for k in (1, 2)]
-    if any(b.inside and not b.vetoed for b in blocks):
-        # The page says where its article is: in its article elements, if they hold most of its main part.
-        level = 2 if 2 * held[1] >= held[0] else 1
-        for b in blocks:
-            b.vetoed = b.vetoed or b.inside < level
-    for b in blocks:
-        b.label = classify(b)
-    inherit(blocks)
+    declared = _LANG.search(html)
+    label_blocks(blocks, declared[1].lower() if declared else None)
     return "\n\n".join(b.text for b in blocks if b.label)
 
 
@@ -232,11 +274,16 @@ def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for each row of ``pages(page_id, url, html)``.
 
     Pass one splits the page into blocks and labels each by link density, length and
-    stop-word density; elements and class names that hold menus, headers, footers,
-    sidebars, notices, adverts, forms or comments veto what they hold.  Pass two lets
-    undecided blocks inherit from their nearest decided neighbours.  In a page that marks
-    its article, only that is looked at.  Null, empty and textless pages give an empty
-    text.  Repeated rows give repeated rows; other columns are not read.
+    stop-word density in the page's language.  Markup is evidence beside them: elements
+    that are never prose (menus, footers, forms, scripts) veto what they hold, classes of
+    menus, notices, adverts or comments speak against it, and an article element for it
+    as far as it holds the page's prose.  Pass two lets undecided blocks inherit from their
+    nearest decided neighbours.  Languages are those of STOP_WORDS; of a page in another
+    one, only long blocks in a marked article and what stands beside them are found.
+
+    Null, empty and textless pages give an empty text, very long ones are read whole,
+    repeated rows give repeated rows, an empty table an empty one; other columns, whatever
+    their names, are not read.
     """
     src = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
     kind = lambda c: src.schema[c].dataType.simpleString()

@@ -438,6 +438,43 @@ def test_html_without_marks():
     assert html.main_text(page) == "\n\n".join(["Head of it", long, "Short & sweet.", long + " link", "The end", "of it"])
 
 
+def stripped(page):
+    """A page without its marks: every sectioning element is a div, and there are no classes."""
+    page = re.sub(r"<(/?)(article|nav|footer|aside|header|main|section)\b", r"<\1div", page)
+    return re.sub(r'\s(class|id|role)="[^"]*"', "", page)
+
+
+def test_html_blocks_of_stripped_pages(spark):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    both = only = truth = 0
+    for page in pages:
+        want, got = (set(html.main_text(x).split("\n\n")) - {""} for x in (page, stripped(page)))
+        both, only, truth = both + len(want & got), only + len(got), truth + len(want)
+    assert both / only > 0.99 and both / truth > 0.97
+
+
+def test_html_hangs_on_stop_words(spark, monkeypatch):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    before = [(html.main_text(x), html.main_text(stripped(x))) for x in pages]
+    monkeypatch.setattr(html, "STOP_WORDS", {})
+    after = [(html.main_text(x), html.main_text(stripped(x))) for x in pages]
+    marked, bare = (sum(a[k] != b[k] for a, b in zip(before, after)) for k in (0, 1))
+    assert marked >= 5 and bare >= 200
+
+
+def test_html_rules_hold_inside_an_article():
+    long = "This is one of the paragraphs that are in the page, and it is as long as it has to be for the rules to take it as content without any doubt."
+    page = f"""<article><h1><a href=/>A head</a></h1><p>{long}</p><ul><li><a href=/a>Other news of the day</a></li><li><a href=/b>More</a></li></ul><p><a href=/s>Share this with all of your friends</a></p>
+    <p>Short.</p><div class=comments><p>{long}</p></div><div class="promo-box">{long}</div><p>{long}</p><p>© The Paper</p></article><div>{long}</div>"""
+    assert html.main_text(page) == "\n\n".join(["A head", long, "Short.", long])
+
+
+@pytest.mark.parametrize("name", ["hidden-gems", "story related", "share", "alert", "search results", "notice"])
+def test_html_class_names_do_not_empty_a_page(name):
+    long = "This is one of the paragraphs that are in the page, and it is as long as it has to be for the rules to take it as content without any doubt."
+    assert html.main_text(f'<body><div class=menu><a href=/>Home</a></div><div class="{name}"><h1>Head</h1><p>{long}</p><p>{long}</p></div><footer>{long}</footer>') == f"Head\n\n{long}\n\n{long}"
+
+
 def test_html_edges(spark):
     df = spark.createDataFrame([(1, None, None, "x"), (1, "u", "", "x"), (2, "u", "<p", "x"), (3, "u", "<!-- a", "x"), (None, "u", "<article><p>a &lt; b &#233;</p>", "x"), (4, "u", "<article><p>" + "word the of " * 30000, "x")], "page_id bigint, url string, html string, text string")
     got = {(r["page_id"], r["url"]): (r["text"], r["n_chars"]) for r in html.extract(df).collect()}
