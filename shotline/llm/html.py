@@ -234,8 +234,11 @@ def inherit(blocks: list[Block]) -> None:
 def label_blocks(blocks: list[Block], declared: str | None = None) -> None:
     """Both passes over a page's blocks.  The page's language is the one whose stop words it has most of, or the declared one."""
     seen = [b for b in blocks if not b.vetoed]
-    weight = {lang: sum(len(b.text) * b.stops[lang] for b in seen if not b.marked) for lang in STOP_WORDS}
-    lang = max(weight, key=weight.get) if any(weight.values()) else declared if declared in STOP_WORDS else None
+    lang = declared if declared in STOP_WORDS else None
+    for pool in (seen, [b for b in seen if not b.marked]):
+        weight = {x: sum(len(b.text) * b.stops[x] for b in pool) for x in STOP_WORDS}
+        if any(weight.values()):
+            lang = max(weight, key=weight.get)
     for believe in (True, False):
         # Classes are doubted only where nothing is left beside them and no article is marked.
         prose = [(b, len(b.text)) for b in seen if reads(b, lang) >= CONTENT and not (b.marked and believe)]
