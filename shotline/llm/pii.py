@@ -1,13 +1,15 @@
-"""Personal data: base patterns, and a skip-chain conditional random field that adds what repeats them."""
+"""Personal data: base patterns, and a skip-chain conditional random field that adds other mentions of what they find."""
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +18,11 @@ from .common import arrow_map
 KINDS = ("email", "ip", "card", "phone")
 #: Labels of a token: 0 is none, then KINDS.
 LABELS = 1 + len(KINDS)
-#: Documents with digits or @ that a fit uses at most; probability from which a token is added; characters between two tokens that are still neighbours; message rounds.
-SAMPLE, SURE, NEAR, ROUNDS, SEED = 2_000, 0.9, 3, 30, 7
+#: Documents with digits or @ that a fit uses at most, and characters around these that it takes of one; probability from which
+#: a token is added; characters between two tokens that are still neighbours; message rounds.
+SAMPLE, MOST_CHARS, SURE, NEAR, ROUNDS, SEED = 2_000, 8_192, 0.6, 3, 30, 7
+#: Least characters of an address's local part, and digits, that count as the same name or number elsewhere.
+NAME, TAIL = 4, 7
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -27,6 +32,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
 _MARKED = re.compile(r"[0-9@]+")
 _SPACES = " \n\t\r\x0b\x0c"
+_RUN = re.compile(r"[^ \n\t\r\x0b\x0c]+")
+_EDGE = ".,;:!?()[]{}<>\"'"
 
 
 def luhn(digits: str) -> bool:
@@ -61,13 +68,18 @@ def base_spans(text: str) -> list[list[tuple[int, int]]]:
     return [emails, ips, cards, phones]
 
 
+def _plain(word: str) -> str:
+    return "".join(c for c in word.lower() if c.isalnum())
+
+
 class Graph:
     """The candidate tokens of some documents, their base labels (-1: open) and their edges.
 
-    A candidate is a run without white space that has a digit or an @; any other token is
-    fixed to no label, and its influence is a constant of its neighbour's features.  Chain
-    edges join neighbours; skip edges join a token to the next one in the document that
-    has the same letters and digits, or the same six or more digits.
+    A candidate is a run without white space that has a digit or an @, or that repeats the
+    local part of one of its document's addresses; any other token is fixed to no label,
+    and its influence is a constant of its neighbour's features.  Chain edges join
+    neighbours; skip edges join a token to the next one in the document that has the same
+    letters and digits, the same name before an @, or the same last TAIL digits.
     """
 
     def __init__(self):
@@ -85,9 +97,12 @@ class Graph:
                 end += 1
             tokens.append((start, end))
             last = end
+        names = {x for a, b in base[0] if len(x := text[a : text.index("@", a)].lower()) >= NAME}
+        if names:
+            tokens = sorted({*tokens, *(m.span() for m in _RUN.finditer(text) if m[0].strip(_EDGE).lower() in names)})
         if not tokens:
             return
-        label = [-1] * len(tokens)
+        label, whole = [-1] * len(tokens), {}
         for kind in range(len(KINDS)):
             k = 0
             for a, b in base[kind]:
@@ -98,6 +113,8 @@ class Graph:
                     if label[j] < 0:
                         label[j] = kind + 1
                     j += 1
+                if j - k > 1:  # a number in several tokens: its last one stands for it
+                    whole[j - 1] = "".join(_DIGITS.findall(text[a:b]))
         first, seen = len(self.docs), {}
         for k, (a, b) in enumerate(tokens):
             word, n = text[a:b], first + k
@@ -110,13 +127,12 @@ class Graph:
             self.features.append(_shape(word, digits, near, after))
             if near:
                 self.chain.append((n - 1, n))
-            keys = {"w" + "".join(c for c in word.lower() if c.isalnum())}
-            if len(digits) >= 6:
-                keys.add("d" + digits)
-            for key in keys:
-                if key in seen and (n - 1 != seen[key] or not near):
-                    self.skip.append((seen[key], n))
-                seen[key] = n
+            keys, name = {"w" + _plain(word)}, word.partition("@")[0].strip(_EDGE).lower()
+            if len(name) >= NAME and ("@" in word or name in names):
+                keys.add("n" + name)
+            keys |= {"d" + x[-TAIL:] for x in (digits, whole.get(k, "")) if len(x) >= TAIL}
+            self.skip += sorted({(seen[key], n) for key in keys if key in seen and (n - 1 != seen[key] or not near)})
+            seen.update(dict.fromkeys(keys, n))
 
 
 def _shape(word: str, digits: str, near: bool, after: bool) -> list[float]:
@@ -134,9 +150,10 @@ class Field:
     def __init__(self, n_features: int):
         self.unary, self.chain, self.skip = np.zeros((n_features, LABELS)), np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS))
 
-    def fit(self, g: Graph, steps: int = 400, rate: float = 0.1, decay: float = 1e-3) -> None:
-        """Maximum pseudo-likelihood: each token's base label given its features and the labels around it."""
-        x, y = np.array(g.features, float), np.maximum(np.array(g.given), 0)
+    def fit(self, g: Graph, truth: list[int], weight: list[float], steps: int = 400, rate: float = 0.1, decay: float = 1e-4) -> None:
+        """Weighted maximum pseudo-likelihood: each token's label in turn is hidden and has to be told from its features and
+        the labels around it.  All three matrices are learned, none is set."""
+        x, y, u = np.array(g.features, float), np.array(truth), np.array(weight, float)[:, None]
         one = np.eye(LABELS)[y]
         chain, skip = (np.array(e, int).reshape(-1, 2) for e in (g.chain, g.skip))
         params = (self.unary, self.chain, self.skip)
@@ -147,23 +164,22 @@ class Field:
                 np.add.at(z, e[:, 1], w[y[e[:, 0]]])
                 np.add.at(z, e[:, 0], w.T[y[e[:, 1]]])
             p = np.exp(z - z.max(axis=1, keepdims=True))
-            d = (p / p.sum(axis=1, keepdims=True) - one) / len(y)
+            d = (p / p.sum(axis=1, keepdims=True) - one) * u / u.sum()
             grads = [x.T @ d, *(one[e[:, 0]].T @ d[e[:, 1]] + d[e[:, 0]].T @ one[e[:, 1]] for e in (chain, skip))]
             for k, (p, grad) in enumerate(zip(params, grads, strict=True)):
                 grad = grad + decay * p
                 m[k], s[k] = 0.9 * m[k] + 0.1 * grad, 0.999 * s[k] + 0.001 * grad**2
                 p -= rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(s[k] / (1 - 0.999**t)) + 1e-8)
-        # Few documents repeat a token: the field is told what it is for, that such tokens agree.
-        self.skip[:] = (self.skip + self.skip.T) / 2 + 6 * np.eye(LABELS)
+        self.skip[:] = (self.skip + self.skip.T) / 2  # which of two mentions comes first tells nothing
 
-    def marginals(self, g: Graph) -> np.ndarray:
+    def marginals(self, g: Graph, skips: bool = True) -> np.ndarray:
         """P(label) of every token, with the base labels given."""
-        given = np.array(g.given)
+        given, skip = np.array(g.given), g.skip if skips else []
         unary = np.array(g.features, float) @ self.unary
         unary[given >= 0] = -60.0
         unary[given >= 0, given[given >= 0]] = 0.0
-        edges = np.array(g.chain + g.skip, int).reshape(-1, 2)
-        weights = np.concatenate([np.repeat(self.chain[None], len(g.chain), axis=0), np.repeat(self.skip[None], len(g.skip), axis=0)])
+        edges = np.array(g.chain + skip, int).reshape(-1, 2)
+        weights = np.concatenate([np.repeat(self.chain[None], len(g.chain), axis=0), np.repeat(self.skip[None], len(skip), axis=0)])
         src, dst = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
         weights = np.concatenate([weights, weights.transpose(0, 2, 1)])
         n, back = len(edges), np.roll(np.arange(2 * len(edges)), len(edges))
@@ -184,44 +200,118 @@ class Field:
         return p / p.sum(axis=1, keepdims=True)
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
-    """Fit on at most ``sample`` documents that have a digit or an @, picked by hash; the base patterns label them."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
-    ids = rows.select("doc_id", F.xxhash64(F.lit(SEED), "doc_id").alias("h")).orderBy("h", "doc_id").limit(sample)
-    g = Graph()
-    texts = rows.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi").transform(arrow_map, _windows, "doc_id bigint, text string").collect()
-    for k, (_, text) in enumerate(sorted((d or 0, t) for d, t in texts)):
+def other_mention(kind: str, found: str, r: random.Random) -> str:
+    """What was found, written so that its base pattern does not match."""
+    digits = "".join(_DIGITS.findall(found))
+    if kind == "email":
+        name, _, host = found.partition("@")
+        return r.choice([f"{name}@{host.partition('.')[0]}", f"{name} at {host.partition('.')[0]}"])
+    if kind == "ip":
+        return found.replace(".", r.choice("-_:"))
+    if kind == "card":
+        return r.choice([digits[-8:], "/".join(digits[i : i + 4] for i in range(0, len(digits), 4)), digits[:4] + "." + digits[4:]])
+    return r.choice([digits[-TAIL:], f"{digits[-7:-4]}-{digits[-4:]}", f"({digits[-10:-7]}) {digits[-7:-4]}-{digits[-4:]}", digits[-10:]])
+
+
+def with_hidden(texts: list[str], seed: int = SEED) -> list[tuple[str, list[tuple[int, int, int]]]]:
+    """Each text with further lines: another mention of something that it has, and one of something that another text has.
+    Gives the new text and the places of these lines with their label: the kind for the first, 0 for the second."""
+    r = random.Random(seed)
+    found = [[(kind, t[a:b]) for kind, spans in zip(KINDS, base_spans(t), strict=True) for a, b in spans] for t in texts]
+    pool, out = [x for f in found for x in f], []
+    for text, own in zip(texts, found, strict=True):
+        lines = [(KINDS.index(kind) + 1, other_mention(kind, what, r)) for kind, what in ([r.choice(own)] if own else [])]
+        strange = [x for x in r.sample(pool, min(3, len(pool))) if x not in own and x[1][-TAIL:] not in text]
+        lines += [(0, other_mention(*x, r)) for x in strange[:1]]
+        r.shuffle(lines)
+        places = []
+        for label, line in lines:
+            text += "\n"
+            places.append((len(text), len(text) + len(line), label))
+            text += line
+        out.append((text, places))
+    return out
+
+
+def fit(texts: list[str]) -> Field | None:
+    """A field for ``texts``: the base patterns label what they find, and hidden mentions are what it has to restore.
+
+    An open token is taken for no personal data, unless it repeats something found: then it
+    is not learned from.  So that no shape alone decides, mentions of what the document has
+    not are among the examples as well.
+    """
+    g, truth, weight, rows = Graph(), [], [], with_hidden(texts)
+    for k, (text, places) in enumerate(rows):
+        size = len(g.docs)
         g.add(k, text, base_spans(text))
-    if not g.docs:
+        for n in range(size, len(g.docs)):
+            hidden = next((label for a, b, label in places if a <= g.spans[n][0] < b), None)
+            truth.append(max(g.given[n], 0) if hidden is None else hidden)
+            weight.append(0.0 if hidden is not None and g.given[n] > 0 else 1.0 if hidden is None else -1.0)
+    if not truth:
         return None
+    unsure = {a if g.given[a] < 0 else b for a, b in g.skip if (g.given[a] > 0) != (g.given[b] > 0)}
+    for n in unsure:
+        if weight[n] > 0:
+            weight[n] = 0.0
+    # Hidden mentions weigh as much as all else together, however many other tokens there are.
+    each = max(1.0, sum(w for w in weight if w > 0) / max(1, sum(w < 0 for w in weight)))
     field = Field(len(g.features[0]))
-    field.fit(g)
+    field.fit(g, truth, [each if w < 0 else w for w in weight])
     return field
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For a fit, only lines that have a candidate token."""
-    for batch in batches:
-        texts = ["\n".join(x for x in t.as_py().split("\n") if _MARKED.search(x)) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+def learn(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
+    """Fit on at most ``sample`` documents that have a digit or an @, picked by hash, and at most MOST_CHARS characters of each.
+
+    Rows without a doc_id are not learned from; of several rows of one, the text of the
+    least hash is.  None if nothing can be learned.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").rlike("[0-9@]"))
+    ids = rows.select("doc_id").distinct().orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(sample)
+    parts = rows.join(F.broadcast(ids), "doc_id", "left_semi").transform(arrow_map, _windows, "doc_id bigint, h bigint, text string")
+    texts = parts.groupBy("doc_id").agg(F.min(F.struct("h", "text")).alias("x")).select("doc_id", "x.text").collect()
+    return fit([text for _, text in sorted(map(tuple, texts))])
 
 
-def find(texts: list[str], field: Field | None) -> list[list[list[tuple[int, int]]]]:
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For a fit, only what stands around candidate tokens; of a text with much of it, pieces drawn by hash."""
+    for batch in batches:
+        hashes, texts = [], []
+        for value in batch.column(1):
+            text, pieces = value.as_py(), []
+            for m in _MARKED.finditer(text):
+                low = pieces[-1][1] if pieces else 0
+                if m.start() < low:
+                    continue
+                start, end = max(low, 1 + max(text.rfind(c, low, m.start()) for c in _SPACES)), m.end()
+                while end < len(text) and text[end] not in _SPACES:
+                    end += 1
+                if pieces and start - low <= 2 * NEAR and end - pieces[-1][0] <= MOST_CHARS // 32:
+                    pieces[-1][1] = end
+                else:
+                    pieces.append([start, end])
+            parts, size, keep = [text[a:b] for a, b in pieces], 0, []
+            for k in sorted(range(len(parts)), key=lambda k: xxhash.xxh64_intdigest(parts[k].encode("utf-8", "surrogatepass"), k)):  # noqa: B023
+                size += len(parts[k])
+                if size > MOST_CHARS:
+                    break
+                keep.append(k)
+            texts.append("\n".join(parts[k] for k in sorted(keep)))
+            hashes.append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "h", "text"])
+
+
+def find(texts: list[str], field: Field | None, skips: bool = True) -> list[list[list[tuple[int, int]]]]:
     """For each text the spans of KINDS, base ones, and then those that the field adds for each of KINDS."""
     out, g = [], Graph()
     for k, text in enumerate(texts):
         base = base_spans(text)
         out.append([*base, *([] for _ in KINDS)])
         if field:
-            size = len(g.docs)
             g.add(k, text, base)
-            if all(x >= 0 for x in g.given[size:]) or all(x < 0 for x in g.given[size:]):
-                # Nothing is open, or nothing personal is there that a token could repeat.
-                g.chain = [e for e in g.chain if e[0] < size]
-                g.skip = [e for e in g.skip if e[0] < size]
-                del g.docs[size:], g.spans[size:], g.features[size:], g.given[size:]
     if field and g.docs:
-        p = field.marginals(g)
+        p = field.marginals(g, skips)
         best = p.argmax(axis=1)
         for n in np.flatnonzero((np.array(g.given) < 0) & (best > 0) & (p.max(axis=1) >= SURE)):
             added = out[g.docs[n]][len(KINDS) + best[n] - 1]
@@ -232,6 +322,20 @@ def find(texts: list[str], field: Field | None) -> list[list[list[tuple[int, int
     return out
 
 
+def hidden_recall(texts: list[str], field: Field, skips: bool = True, seed: int = SEED + 1) -> tuple[float, float]:
+    """Share of hidden mentions that the field restores with their kind, and of strange ones that it takes for personal data."""
+    rows = with_hidden(texts, seed)
+    hit, every = [0, 0], [0, 0]
+    for (text, places), got in zip(rows, find([t for t, _ in rows], field, skips), strict=True):
+        taken = [a for spans in got[: len(KINDS)] for a in spans]
+        for a, b, label in places:
+            if any(x < b and a < y for x, y in taken):
+                continue  # a base pattern has it after all
+            every[label == 0] += 1
+            hit[label == 0] += any(x < b and a < y for spans in (got[len(KINDS) + label - 1 :][:1] if label else got[len(KINDS) :]) for x, y in spans)
+    return hit[0] / max(1, every[0]), hit[1] / max(1, every[1])
+
+
 NAMES = (*KINDS, *(f"{k}_like" for k in KINDS))
 
 
@@ -258,7 +362,8 @@ def detect(docs: DataFrame, field: Field | None) -> DataFrame:
 
     Counts and the hash are those of the base spans.  ``spans`` has all: base ones, then
     those that the field adds, whose kinds end in ``_like``.  Null and empty texts have
-    none.  Repeated rows give repeated rows; other columns are not read.
+    none.  Whole texts are read, however long; repeated rows give repeated rows, an empty
+    table an empty one; other columns, whatever their names, are not read.
     """
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return src.transform(arrow_map, _detect(field), "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string")
