@@ -352,7 +352,7 @@ def test_names_without_digits_are_candidates():
 def test_pii_of_nothing(spark):
     d = docs(spark, [])
     assert pii.learn(d) is None and pii.detect(d, None).count() == pii.redact(d, None).count() == 0
-    same = docs(spark, [(1, f"{k} 4111111111111111 " + "12 " * 50_000) for k in range(3)] + [(None, "a@b.cd")])
+    same = docs(spark, [(1, f"no. {k}: 4111111111111111 of " + "12 " * 50_000) for k in range(3)] + [(None, "a@b.cd")])
     assert pii.learn(same) is not None and sorted(r["n_card"] for r in pii.detect(same, pii.learn(same)).collect()) == [0, 1, 1, 1]
 
 
