@@ -157,6 +157,63 @@ def test_decontamination_is_brute_force(spark):
     assert decontaminate.contaminated(docs(spark, rows), bench.limit(0)).count() == decontaminate.contaminated(docs(spark, []), bench).count() == 0
 
 
+def prints(spark, values, key):
+    """Fingerprints given as numbers."""
+    words_ = lambda x: [(w - (1 << 64) * (w >> 63)) for w in (x >> 64 * k & (1 << 64) - 1 for k in range(decontaminate.WORDS))]
+    return spark.createDataFrame([(i, 20, *words_(x)) for i, x in enumerate(values)], f"{key} bigint, size int, " + ", ".join(f"fp{k} bigint" for k in range(decontaminate.WORDS)))
+
+
+def test_blocks_find_what_is_near_and_little_else(spark, monkeypatch):
+    r = random.Random(3)
+    own, other = ([r.getrandbits(decontaminate.BITS) for _ in range(200)] for _ in range(2))
+    w, i = prints(spark, own, "win"), prints(spark, other, "item_id")
+    met = decontaminate.blocks(w, ["win"]).select("win", "key").join(decontaminate.blocks(i, ["item_id"]).select("item_id", "key"), "key").select("win", "item_id").distinct().count()
+    assert met < 0.01 * 200 * 200 and decontaminate.candidates(w, i).count() == 0
+
+    def flipped(x, n):
+        for b in r.sample(range(decontaminate.BITS), n):
+            x ^= 1 << b
+        return x
+
+    # All within 15 bits by the pigeonhole principle, whatever the bits; at the mean distance of the least similarity practically all.
+    for n, partitions, least in ((15, 1, 200), (39, decontaminate.PARTITIONS, 200), (39, 1, 0)):
+        monkeypatch.setattr(decontaminate, "PARTITIONS", partitions)
+        got = decontaminate.candidates(w, prints(spark, [flipped(x, n) for x in own], "item_id")).where("win = item_id").count()
+        assert got >= least and (least or got < 200)
+
+
+def test_candidates_come_from_fingerprints_only(spark, monkeypatch):
+    bench = spark.createDataFrame([(k, " ".join(words(60, 50 + k))) for k in range(30)], "item_id bigint, text string")
+    rows = []
+    for k in range(30):
+        w = words(60, 50 + k)
+        w[30] = "changed"
+        rows.append((k, " ".join(words(20, 200 + k) + w + words(20, 300 + k))))
+    assert decontaminate.contaminated(docs(spark, rows), bench).count() == 30
+    monkeypatch.setattr(decontaminate, "PARTITIONS", 1)
+    monkeypatch.setattr(decontaminate, "BLOCK", 64)
+    assert decontaminate.contaminated(docs(spark, rows), bench).count() < 30  # four blocks of 64 bits lead to few
+
+
+def test_fingerprints_are_majorities(spark):
+    rows = spark.createDataFrame([(g, h) for g, hs in ((1, [5, -3, 7]), (2, [-1]), (3, [2**62, -(2**63), 1, 9])) for h in hs], "win bigint, h bigint")
+    hashed = rows.select("win", F.array("h", *(F.xxhash64("h", F.lit(k)) for k in range(1, decontaminate.WORDS))).alias("x")).collect()
+    for r in decontaminate.fingerprints(rows, ["win"]).collect():
+        own = [x["x"] for x in hashed if x["win"] == r["win"]]
+        for k in range(decontaminate.WORDS):
+            assert all((r[f"fp{k}"] >> b & 1) == (2 * sum(x[k] >> b & 1 for x in own) > len(own)) for b in range(64))
+
+
+def test_decontamination_of_rows_without_ids(spark):
+    item = " ".join(words(30, 9))
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    d = docs(spark, [(None, "a " + item), (None, "a " + item), (None, "b " + item), (None, text(40, 3)), (4, item), (4, text(50, 4)), (5, "x " * 60_000 + item)])
+    got = decontaminate.contaminated(d, bench).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == ["4", "5", "None", "None"] and {r["start"] for r in got} == {0, 1, 60_000}
+    kept = decontaminate.remove(d, bench)
+    assert kept.columns == d.columns and sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == [("4", text(50, 4)), ("None", text(40, 3))]
+
+
 def test_decontamination_runs_no_python(spark):
     df = decontaminate.contaminated(docs(spark, [(1, "a b c d e f")]), spark.createDataFrame([(1, "a b c d e f")], "item_id bigint, text string"))
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString()) and df.count() == 1
