@@ -242,6 +242,35 @@ def test_shards_are_even_in_rows_and_mixture(spark):
     assert sharding.interleave(df.limit(0)).count() == 0
 
 
+def test_shards_of_many_small_sources(spark):
+    sizes = {**{f"one{k}": 1 for k in range(4000)}, **{f"two{k}": 2 for k in range(700)}, **{f"odd{k}": k for k in range(3, 60)}, "large": 4000}
+    rows = [s for s, n in sizes.items() for _ in range(n)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, source string").withColumn("text", F.lit("x"))
+    got = sharding.interleave(df).join(df, "doc_id").select("shard", "source").collect()
+    parts = defaultdict(Counter)
+    for r in got:
+        parts[r["shard"]][r["source"]] += 1
+    kinds = {"one": 4000, "two": 1400, "odd": sum(range(3, 60)), "large": 4000}
+    assert max(map(lambda p: sum(p.values()), parts.values())) - min(map(lambda p: sum(p.values()), parts.values())) <= 1
+    for p in parts.values():
+        assert all(abs(n - sizes[s] / 24) <= max(2, 0.05 * sizes[s] / 24) for s, n in p.items())
+        for kind, n in kinds.items():
+            here = sum(c for s, c in p.items() if s.startswith(kind))
+            assert abs(here - n / 24) <= 0.1 * n / 24 + 2, kind
+
+
+def test_shards_of_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES", 10)
+    monkeypatch.setattr(sharding, "CELL_ROWS", 20)
+    df = docs(spark, [(None, "same")] * 700 + [(7, "same")] * 205 + [(None, None)] * 40)
+    got = sharding.interleave(df).collect()
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert Counter((r["doc_id"], r["size"]) for r in got) == {(None, 12): 700, (7, 12): 205, (None, 8): 40}
+    assert len(slots) == 24 and all(sorted(x) == list(range(len(x))) and len(x) in (39, 40) for x in slots.values())
+
+
 def test_shards_as_files(spark, tmp_path):
     d = docs(spark, [(i, text(5, i)) for i in range(30)])
     sharding.write_shards(d, str(tmp_path / "s"), 4)
