@@ -15,6 +15,8 @@ DIM, N, SEED = 1024, 3, 11
 #: Training documents of a language, about: a hash picks this share of those that may be learned from.
 SAMPLE = 600
 UNKNOWN = "und"
+#: Languages whose prototypes the driver and the workers hold at most; more are an error.
+MOST_LANGUAGES = 20_000
 
 
 class Profiles:
@@ -91,13 +93,18 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Prototypes of the languages of ``docs(doc_id, text, lang)``: names, and centred unit vectors.
+    """Prototypes of the languages of ``docs(doc_id, text, lang)``: names, and unit vectors.
 
-    About ``sample`` documents a language are used, picked by a hash of doc_id; 10,000 languages at most.
+    About ``sample`` documents a language are used, picked by a hash of doc_id (a null one
+    is not picked; rows of one doc_id are picked together).  Nulls, texts without letters
+    and an empty table teach nothing.  More than MOST_LANGUAGES languages raise an error.
     """
     rows = docs.where("lang is not null and text is not null").select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample)) / F.count("*")).alias("share"))
-    picked = rows.join(F.broadcast(share.limit(10_000)), "lang").where((F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 20)) <= F.col("share") * (1 << 20)))
+    known = share.count()
+    if known > MOST_LANGUAGES:
+        raise ValueError(f"{known} languages; {MOST_LANGUAGES} at most can be held")
+    picked = rows.join(F.broadcast(share), "lang").where((F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 20)) <= F.col("share") * (1 << 20)))
     sums = picked.select("lang", "text").transform(arrow_map, _sums, "lang string, v array<bigint>").select("lang", F.posexplode("v")).groupBy("lang", "pos").agg(F.sum("col").alias("v"))
     got: dict[str, np.ndarray] = {}
     for lang, pos, v in sums.collect():
@@ -133,7 +140,10 @@ def predict(docs: DataFrame, names: list[str], protos: np.ndarray) -> DataFrame:
     """``doc_id, lang_pred, score`` for each row of ``docs(doc_id, text)``: the language whose
     prototype has the largest cosine with the whole text, and that cosine (0 at least).
 
-    Without letters (or without anything learned) the language is ``und`` and the score 0.
+    Of equally near languages the first in alphabetical order counts.  Without letters (null
+    and empty texts too), or without anything learned, the language is ``und`` and the score
+    0.  Texts may be of any length; repeated rows are predicted alike, an empty table gives
+    an empty one; other columns, whatever their names, are not read.
     """
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return src.transform(arrow_map, _predict(names, protos), "doc_id bigint, lang_pred string, score double")
