@@ -6,13 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map
 
-#: Words of a passage; labelled documents that a fit uses at most; documents with a score below CUT are rejected.
-PASSAGE, SAMPLE, CUT, SEED = 128, 3_000, 0.3, 5
+#: Words of a passage; labelled documents that a fit uses at most, and passages of one; documents with a score below CUT are rejected.
+PASSAGE, SAMPLE, BAG, CUT, SEED = 128, 3_000, 32, 0.3, 5
 _CLASSES = 16
 
 
@@ -105,13 +106,24 @@ class Model:
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For a fit, BAG passages of each text at most, drawn by the text's hash."""
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([passages(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], ["doc_id", "x"])
+        hashes, bags = [], []
+        for t in batch.column(1):
+            text = t.as_py()
+            h, x = xxhash.xxh64_intdigest((text or "").encode("utf-8", "surrogatepass")) >> 1, passages(text)
+            if len(x) > BAG:
+                x = x[np.sort(np.random.default_rng(h).choice(len(x), BAG, replace=False))]
+            hashes.append(h)
+            bags.append(x.tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.int64()), pa.array(bags, pa.binary())], ["doc_id", "h", "x"])
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """Fit on ``labels(doc_id, quality)``: at most ``sample`` labelled documents, picked by hash.
+    """Fit on ``labels(doc_id, quality)``: at most ``sample`` labelled documents, picked by hash, and BAG passages of each.
 
+    So the driver gets 100 MB at most.  Null ids and labels are passed over; of several
+    labels of one document the largest counts, of several texts the one of the least hash.
     None if the labels do not have both classes.
     """
     rows = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("quality").cast("int").alias("quality"))
@@ -119,8 +131,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     quality = {d: q for d, q in rows.collect()}
     ids = docs.sparkSession.createDataFrame([(d,) for d in quality], "doc_id bigint")
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    got = src.join(F.broadcast(ids), "doc_id", "left_semi").transform(arrow_map, _bags, "doc_id bigint, x binary").collect()
-    got = sorted({d: bytes(x) for d, x in got}.items())
+    bags = src.join(F.broadcast(ids), "doc_id", "left_semi").transform(arrow_map, _bags, "doc_id bigint, h bigint, x binary")
+    got = sorted((d, bytes(x)) for d, x in bags.groupBy("doc_id").agg(F.min(F.struct("h", "x")).alias("b")).select("doc_id", "b.x").collect())
     y = np.array([float(quality[d] > 0) for d, _ in got])
     if not (y == 0).any() or not (y == 1).any():
         return None
@@ -144,8 +156,9 @@ def _scored(model: Model | None):
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """``doc_id, score`` for each row of ``docs(doc_id, text)``: how likely the label is 1, from the whole text.
 
-    A null or empty text is one passage without words.  Without a model every score is 1.
-    Repeated rows are scored alike; other columns are not read.
+    A null or empty text is one passage without words; texts may be of any length.  Without
+    a model every score is 1.  Repeated rows are scored alike, an empty table gives an empty
+    one; other columns, whatever their names, are not read.
     """
     src = docs.select(F.lit(None).cast("int").alias("unused"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("bigint").alias("doc_id"))
     return src.transform(arrow_map, _scored(model), "score double, doc_id bigint").select("doc_id", "score")
