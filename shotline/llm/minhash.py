@@ -133,7 +133,8 @@ def _rare_first(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     Shingles are ordered from rare to frequent.  If |A| <= |B| and the pair is similar
     enough, the two share one of A's first |A| - ceil(2p/(100+p) |A|) + 1 and B's first
     |B| - ceil(p/100 |B|) + 1 shingles.  Near copies below the similarity differ in rare
-    shingles, so a large group of them makes few pairs, and no similar pair is lost.
+    shingles, so a large group of them makes few pairs, and no similar pair is lost.  Sets
+    that hold one shingle meet in classes of like size, and STAR of them at most in a task.
     """
     flat = rows_with_ids(sets.withColumnRenamed("id", "doc_id"), classes.select(F.col("id").alias("doc_id")))
     flat = flat.dropDuplicates(["doc_id"]).transform(arrow_map, _tokens, "id bigint, n bigint, t array<bigint>").select("id", "n", F.explode("t").alias("t"))
@@ -142,11 +143,17 @@ def _rare_first(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     probe = F.col("n") - F.expr(f"(n * {percent} + 99) div 100") + 1
     index = F.col("n") - F.expr(f"(n * {2 * percent} + {99 + percent}) div {100 + percent}") + 1
     prefix = settle(ranked.where((F.col("f") > 1) & (F.col("rank") <= probe)).withColumn("first", F.col("rank") <= index).join(classes, "id").select("t", "id", "n", "c", "first", "rank"))
-    a = prefix.where("first").select("t", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("rank").alias("ra"))
-    b = prefix.select("t", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("rank").alias("rb"))
+    # Sets of a pair differ in size by a factor of 100 / percent at most, so they are of one size class or of two that adjoin.
+    step = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1.0  # a little more, for rounding
+    size_class = F.floor(F.log("n") / F.lit(step))
+    prefix = prefix.withColumn("band", size_class)
+    parts = prefix.groupBy("t", "band").agg(F.ceil(F.count("*") / STAR).cast("int").alias("parts"))
+    b = prefix.join(parts, ["t", "band"]).select("t", "band", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("rank").alias("rb"))
+    a = prefix.where("first").withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1))).join(parts, ["t", "band"])
+    a = a.select("t", "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("rank").alias("ra"))
     # At the first shingle that two sets share, no more than those behind it can follow.
     reach = f"(100 + {percent}) * (1 + least(na - ra, nb - rb)) >= {percent} * (na + nb)"
-    met = a.join(b, "t").where(f"ca <> cb and (na < nb or na = nb and a < b) and 100 * na >= {percent} * nb and {reach}")
+    met = a.join(b, ["t", "band", "part"]).where(f"ca <> cb and (na < nb or na = nb and a < b) and 100 * na >= {percent} * nb and {reach}")
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
