@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, settle
+from .common import BROADCAST_ROWS, discard, settle
 
 #: (verdict, rule); a rule is host/path and fits the host and its subdomains.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -17,6 +17,8 @@ ORDER = 4
 BINS = 200
 #: One character out of this many, where nothing is known.
 ALPHABET = 256
+#: A key is hot from this share of all rows; so there are no more hot keys than its inverse.
+HOT = 1 / 10_000
 
 
 def host_of(url: Column) -> Column:
@@ -60,6 +62,9 @@ def gram_scores(grams: DataFrame) -> DataFrame:
             F.sum("a").alias("na"), F.sum("r").alias("nr"), F.count_if(F.col("a") > 0).alias("ta"), F.count_if(F.col("r") > 0).alias("tr")
         )
         level = own.withColumn("ctx", F.substring("g", 1, k)).join(ctx, "ctx").drop("ctx")
+        if k < 2:  # few keys, that many grams share
+            level = settle(level)
+            level = F.broadcast(level) if level.count() < BROADCAST_ROWS else level
         p = lambda n, total, types, lower: F.when(F.col(total) > 0, (F.col(n) + F.col(types) * F.col(lower)) / (F.col(total) + F.col(types))).otherwise(F.col(lower))
         out = out.withColumn("g", cut).join(level, "g").select("gram", p("a", "na", "ta", "pa").alias("pa"), p("r", "nr", "tr", "pr").alias("pr"))
     return out.select("gram", (F.log("pr") - F.log("pa")).alias("llr"))
@@ -89,7 +94,8 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     calibrate the threshold (the fifth); the models decide the others.  The score is the
     mean of ln P(rejected) - ln P(accepted) over the URL's characters.  A null or empty
     URL has the score 0 and, like every URL where a class has no example, is allowed.
-    Other columns are not read; repeated rows are judged alike.
+    URLs may be of any length; repeated rows are judged alike, an empty table gives an empty
+    one; other columns, whatever their names, are not read.
     """
     src = pages.select("page_id", F.col("url").cast("string").alias("url")).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     src = src.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
@@ -98,12 +104,18 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     urls = settle(src.where("url <> ''").groupBy("url").agg(F.first("label").alias("label"), F.count("*").alias("n")))
     rows = urls.withColumn("held", F.pmod(F.xxhash64("url"), F.lit(5)) == 0).select("url", "label", "n", "held", F.explode(_grams(F.col("url"))).alias("gram"))
     weigh = lambda label: F.sum(F.when((F.col("label") == label) & ~F.col("held"), F.col("n")).otherwise(0))
-    grams = settle(rows.groupBy("gram").agg(weigh("allow").alias("accepted"), weigh("block").alias("rejected")))
-    llr = settle(gram_scores(grams))
-    scored = settle(rows.join(llr, "gram").groupBy("url", "label", "n", "held").agg(F.avg("llr").alias("score")))
+    grams = settle(rows.groupBy("gram").agg(weigh("allow").alias("accepted"), weigh("block").alias("rejected"), F.count("*").alias("rows")))
+    llr = settle(gram_scores(grams.drop("rows")))
+    # Grams that many URLs share (``http://`` is in all) go to every task: there are 1 / HOT of them at most.
+    limit = HOT * (grams.agg(F.sum("rows")).first()[0] or 0)
+    hot = settle(llr.join(grams.where(F.col("rows") > limit).select("gram"), "gram", "left_semi"))
+    often = rows.join(F.broadcast(hot.withColumnRenamed("llr", "hot")), "gram", "left")
+    seldom = often.where("hot is null").drop("hot").join(llr, "gram")
+    sums = often.where("hot is not null").withColumnRenamed("hot", "llr").select("url", "label", "n", "held", "llr").union(seldom.select("url", "label", "n", "held", "llr"))
+    scored = settle(sums.groupBy("url", "label", "n", "held").agg(F.avg("llr").alias("score")))
     cut = _threshold(scored.where("held and label is not null"))
     out = src.join(scored.select("url", "score"), "url", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
-    discard(urls, grams, llr)
+    discard(urls, grams, llr, hot)
     verdict = F.coalesce(F.col("label"), F.when(F.col("score") > F.lit(cut), F.lit("block")).otherwise(F.lit("allow")))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")
 

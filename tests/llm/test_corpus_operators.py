@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -110,6 +111,11 @@ def test_mixed_bands_lose_no_link(spark):
     assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs(spark, rows), 85).collect()} == want
 
 
+def test_rare_shingles_shared_by_many_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "STAR", 3)
+    test_mixed_bands_lose_no_link(spark)
+
+
 def test_signatures_estimate_similarity():
     bands, n = minhash.banding(85)
     c = minhash.Circulant(bands, n)
@@ -349,6 +355,19 @@ def test_language_edges(spark):
     assert names == [] and langid.predict(docs(spark, [(1, "abc")]), names, protos).first()["lang_pred"] == "und"
 
 
+def test_language_ties_and_limits(spark, monkeypatch):
+    rows = [(i, "der die das und", lang) for i, lang in enumerate(["b", "a", "c"])]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    names, protos = langid.learn(d)
+    assert names == ["a", "b", "c"] and {r["lang_pred"] for r in langid.predict(d, names, protos).collect()} == {"a"}
+    p = langid.Profiles()
+    assert np.allclose(protos[0], p.vector(rows[0][1]), atol=1e-5)
+    assert langid.predict(d.limit(0), names, protos).count() == 0
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
+    with pytest.raises(ValueError):
+        langid.learn(d)
+
+
 def test_profiles_bind_and_bundle():
     p = langid.Profiles()
     a, b = p.vector("abc"), np.roll(p.letter(0), 2) * np.roll(p.letter(97), 1) * p.letter(98) + np.roll(p.letter(97), 2) * np.roll(p.letter(98), 1) * p.letter(99) + np.roll(p.letter(98), 2) * np.roll(p.letter(99), 1) * p.letter(0)
@@ -375,6 +394,26 @@ def test_quality_edges(spark):
     assert quality.score(d, None).agg(F.min("score")).first()[0] == 1.0
 
 
+def test_quality_fit_is_bounded_and_repeatable(spark):
+    long = " ".join(words(20_000, 1))
+    rows = [(i, long if i % 2 else "### " * 9000) for i in range(40)] + [(1, "other text"), (1, "third text")] * 3
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    sizes = [len(b.column(2)[0].as_py()) // 4 // quality.FEATURES for b in quality._bags(iter([pa.RecordBatch.from_arrays([pa.array([1]), pa.array([long])], ["doc_id", "text"])]))]
+    assert sizes == [quality.BAG] and len(quality.passages(long)) > quality.BAG
+    a, b = (quality.learn(docs(spark, r), labels) for r in (rows, rows[::-1]))
+    assert all(np.array_equal(a.p[k], b.p[k]) for k in a.p)
+    assert quality.score(docs(spark, []), a).count() == quality.keep_good(docs(spark, []), a).count() == 0
+
+
+def test_quality_forward_is_attention_over_passages():
+    m, t = quality.Model(hidden=3, attention=2), " ".join(words(300, 2))
+    x = (quality.passages(t) - m.mean) / m.std
+    h = np.tanh(x @ m.p["W"])
+    e = np.exp((np.tanh(h @ m.p["V"]) / (1 + np.exp(-h @ m.p["U"]))) @ m.p["w"])
+    want = 1 / (1 + np.exp(-((e / e.sum()) @ h @ m.p["c"] + m.p["d"][0])))
+    assert len(x) == 3 and m.score([quality.passages(""), quality.passages(t)])[1] == pytest.approx(want)
+
+
 def test_quality_gradient():
     m = quality.Model(hidden=3, attention=2)
     r = np.random.default_rng(0)
