@@ -160,10 +160,11 @@ def _groups(column, chars: int = 1 << 19) -> Iterator[list]:
 
 
 class Packer:
-    """Packs pieces of documents as they come; ``emit`` gets (doc, start, length, sequence, offset, tier, step)."""
+    """Packs pieces of documents as they come; ``emit`` gets (doc, start, length, sequence, offset, tier)."""
 
     def __init__(self, tiers, first_sequence: int, emit):
-        self.tiers, self.emit, self.sequence, self.first, self.tokens = sorted(tiers), emit, first_sequence, first_sequence, 0
+        self.tiers, self.emit, self.sequence, self.first, self.groups = sorted(tiers), emit, first_sequence, first_sequence, 0
+        self.windows: list[tuple[int, int]] = []  # (tier, sequence) of those without a step group yet
         self.pools: dict[int, list] = {t: [] for t in self.tiers}  # of (length, order, doc, start), by length
         self.order = 0
 
@@ -178,12 +179,28 @@ class Packer:
             insort(self.pools[next(t for t in self.tiers if t >= length)], (length, self.order, doc, start))
 
     def _window(self, tier: int, pieces: list) -> None:
-        offset, step = 0, (self.first, self.tokens // STEP_TOKENS)
+        offset = 0
         for doc, start, length in pieces:
-            self.emit(doc, start, length, self.sequence, offset, tier, step)
+            self.emit(doc, start, length, self.sequence, offset, tier)
             offset += length
+        self.windows.append((tier, self.sequence))
         self.sequence += 1
-        self.tokens += tier
+
+    def balance(self) -> dict[int, str]:
+        """Step groups of the windows made since the last call, by sequence: of about STEP_TOKENS each and alike in the cost of
+        attention, the square of a window's length.  The windows of each tier, longest first, go round the groups, beginning with
+        those that cost least so far; so groups have as many of each tier, but for one."""
+        n = max(1, round(sum(t for t, _ in self.windows) / STEP_TOKENS))
+        cost, out = [0] * n, {}
+        for tier in sorted({t for t, _ in self.windows}, reverse=True):
+            turn = sorted(range(n), key=lambda k: (cost[k], k))
+            for i, sequence in enumerate(x for t, x in self.windows if t == tier):
+                k = turn[i % n]
+                cost[k] += tier * tier
+                out[sequence] = f"{self.first}:{self.groups + k}"
+        self.groups += n
+        self.windows = []
+        return out
 
     def _take(self, gap: int, tiers: list[int]):
         """The longest pending piece of at most ``gap`` tokens."""
@@ -245,15 +262,17 @@ def _packed(path: str, tiers, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, held, rows = encoder(path).many, {}, []
 
-        def emit(doc, start, length, sequence, offset, tier, step):
+        def emit(doc, start, length, sequence, offset, tier):
             doc_id, ids = held[doc]
             part = np.ascontiguousarray(ids[start : start + length], dtype="<u4")
-            rows.append((doc_id, start, length, zlib.crc32(part.tobytes()), len(ids), sequence, offset, tier, f"{step[0]}:{step[1]}", *([part.tolist()] if with_ids else [])))
+            rows.append((doc_id, start, length, zlib.crc32(part.tobytes()), len(ids), sequence, offset, tier, *([part.tolist()] if with_ids else [])))
 
         def out() -> Iterator[pa.RecordBatch]:
             if rows:
+                steps = packer.balance()
                 cols = list(zip(*rows, strict=True))
-                kinds = [pa.int64()] * 7 + [pa.int32(), pa.string()] + [pa.list_(pa.int64())] * with_ids
+                cols.insert(8, [steps[x] for x in cols[5]])
+                kinds = [pa.int64()] * 7 + [pa.int32(), pa.string()] + [pa.list_(pa.int32())] * with_ids
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group", "ids"]
                 for i in range(0, len(rows), 20_000):
                     yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 20_000], t) for c, t in zip(cols, kinds, strict=True)], names[: len(cols)])
@@ -288,8 +307,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, tiers=TIERS, with_ids: b
     it first; the rest is routed to the smallest tier that holds it.  Windows of each tier
     are filled with the longest piece that fits, the gaps of long windows with pieces of
     shorter tiers, and the last gap with a cut.  So every window is full; only the end of
-    a partition has one padded sequence.  Windows go to step groups of equal token counts
-    in the order they are made.
+    a partition has one padded sequence.  The windows of a block are dealt to step groups of
+    about STEP_TOKENS tokens, each with as many windows of each tier but for one, so the
+    groups of a block cost alike.
 
     A partition of the input is packed by one task in blocks of BLOCK tokens, without a
     shuffle; the same split gives the same sequences, so a lost task can run again.
@@ -307,7 +327,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, tiers=TIERS, with_ids: b
         raise ValueError("tiers are powers of two")
     schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, tier int, step_group string"
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return src.transform(arrow_map, _packed(str(tokenizer), tuple(tiers), with_ids), schema + ", ids array<bigint>" * with_ids)
+    return src.transform(arrow_map, _packed(str(tokenizer), tuple(tiers), with_ids), schema + ", ids array<int>" * with_ids)
 
 
 def op7_packing(spark, sf_dir: str) -> DataFrame:
