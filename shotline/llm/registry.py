@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-
+from . import pipeline
 from .decontaminate import ORACLE_OP4, op4_decontamination
 from .html import op1_html
 from .langid import op3_language
@@ -28,7 +27,7 @@ def queries() -> dict:
         "op8_quality": op8_quality,
         "op9_minhash": op9_minhash,
         "op10_url_filter": op10_url_filter,
-        "pipeline": corpus_pipeline.run,
+        "pipeline": pipeline.run,
     }
 
 

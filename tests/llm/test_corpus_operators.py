@@ -325,6 +325,20 @@ def test_encoder_is_the_tokenizer(tokenizer, texts):
     assert [x.tolist() for x in packing.encoder(P.path("word_bpe_49k.json")).many(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_step_groups_cost_alike(spark):
+    r = random.Random(1)
+    d = docs(spark, [(i, text(r.choice([3, 40, 150, 300, 700, 2500]), i)) for i in range(500)])
+    got = packing.pack(d.coalesce(1)).select("sequence_id", "tier", "step_group").distinct().collect()
+    cost, tokens, tiers = Counter(), Counter(), defaultdict(Counter)
+    for x in got:
+        cost[x["step_group"]] += x["tier"] ** 2
+        tokens[x["step_group"]] += x["tier"]
+        tiers[x["tier"]][x["step_group"]] += 1
+    assert len(cost) >= 5 and len({x["sequence_id"] for x in got}) == len(got)
+    assert max(cost.values()) - min(cost.values()) <= 4 / 3 * 2048**2 and max(tokens.values()) - min(tokens.values()) < 4096
+    assert len(tiers) > 1 and all(max(n[g] for g in cost) - min(n[g] for g in cost) <= 1 for n in tiers.values())
+
+
 def test_packing_nothing(spark):
     assert packing.pack(docs(spark, [])).count() == 0
 
@@ -722,6 +736,32 @@ def test_pipeline_decisions(spark):
     assert {r[0] for r in out.select("doc_id").distinct().collect()} == set(kept)
 
 
+def test_pipeline_output_is_token_sequences(spark, tokenizer, tmp_path):
+    t = ["", " \n", None, text(300, 1), text(3000, 2), text(300, 1), "Write to anna@mail.example.com about " + text(60, 3)]
+    rows = [(i, x, "en", "s", None, "a", None, "b", None) for i, x in enumerate(t)] + [(4, t[4], "en", "s", None, "a", None, "b", None)] * 2 + [(4, text(80, 4), None, None, 1, "", "", "", ""), (None, text(50, 5), None, None, None, None, None, None, None)]
+    sf = str(tmp_path)
+    spark.createDataFrame(rows, DOC).write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame([(1, text(40, 9))], "item_id bigint, text string").write.parquet(f"{sf}/benchmark.parquet")
+    out = defaultdict(list)
+    for r in corpus_pipeline.run(spark, sf).collect():
+        out[r["doc_id"]].append((r["start"], r["ids"], r["doc_tokens"]))
+    want = lambda x: [*tokenizer.encode(x or "", add_special_tokens=False).ids, 1]
+    joined = lambda k: sum((ids for _, ids, _ in sorted(out[k])), [])
+    assert set(out) == {0, 1, 2, 3, 4, 6, None}  # 5 repeats 3
+    assert joined(3) == want(t[3]) and joined(2) == [1] and joined(None) == want(text(50, 5))
+    assert joined(6) == want(t[6].replace("anna@mail.example.com", "<EMAIL>"))
+    assert sorted(len(want(x)) for x in (t[4], text(80, 4))) == sorted({n for _, _, n in out[4]}) and len(joined(4)) == sum(len(want(x)) for x in (t[4], text(80, 4)))
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    sf = str(tmp_path)
+    spark.createDataFrame([], DOC).write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{sf}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, sf).count() == 0
+
+
 def test_registered():
     names = registry.queries()
     assert {re.match(r"op(\d+)_", n)[1] for n in names if n != "pipeline"} == {str(i) for i in range(1, 11)} and "pipeline" in names
