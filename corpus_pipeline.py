@@ -1,49 +1,5 @@
-"""Raw documents to training sequences: five stages, each on all that the one before it kept."""
+"""Raw documents to training sequences: quality, near-duplicates, decontamination, personal data, packing."""
 
-from __future__ import annotations
+from shotline.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from shotline.llm import decontaminate, minhash, packing, pii, quality
-from shotline.llm.common import BROADCAST_ROWS, settle
-
-
-def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the quality classifier rejects."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~quality.held_out())
-    return quality.keep_good(docs, quality.learn(docs, labels))
-
-
-def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the least doc_id, of each group of near-duplicates."""
-    gone = minhash.near_duplicates(docs, percent=80).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    gone = F.broadcast(gone) if gone.count() < BROADCAST_ROWS else gone
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-
-
-def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that hold a near copy of a benchmark item."""
-    return decontaminate.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-
-
-def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by its kind."""
-    return pii.redact(docs, pii.learn(docs))
-
-
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences: a row for each piece of a document."""
-    return packing.pack(docs)
-
-
-STAGES = [("quality classifier", keep_good), ("near-duplicates", keep_first), ("decontamination", keep_clean), ("personal data", redact), ("packing", pack)]
-#: SQL has neither the classifier nor the field nor the tokenizer.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir))
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
