@@ -21,7 +21,7 @@ K, TABLES, CELL, JOIN, BLOCK = 8, 6, 256, 64, 512
 ODDS, WIDE_BLOCK = 0.98, 2048
 #: Most rounds of descent; gain of the mean similarity of list places below which a round is the last; vectors with links that the
 #: audit compares with all rows; recall below which lists are doubled; doublings, after which all rows are compared.
-ROUNDS, GAIN, AUDIT, RECALL, DOUBLINGS, SEED = 5, 0.0002, 128, 0.97, 2, 13
+ROUNDS, GAIN, AUDIT, RECALL, DOUBLINGS, SEED = 5, 0.0002, 128, 0.99, 2, 13
 #: Share of the vectors above which a component is large; vectors that the audit compares at once; vectors it draws at most.
 LARGE, PASS, MOST = 0.01, 4096, 65_536
 #: What float32 may be off.
@@ -315,7 +315,7 @@ def _recall(vectors: DataFrame, classes: DataFrame, threshold: float) -> float |
 
 
 def near_duplicates(table: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """``vec_id, n_links, component_id, kept`` for each row of ``table(vec_id, embedding)``.
+    """``vec_id, n_links, component_id, kept, audited_recall`` for each row of ``table(vec_id, embedding)``.
 
     Two vectors are linked if their cosine, in double precision, is ``threshold`` or more.
 
@@ -332,8 +332,10 @@ def near_duplicates(table: DataFrame, threshold: float = 0.9) -> DataFrame:
 
     Vectors that are null, empty or zero, or have null or non-finite components, link with
     nothing; neither do vectors of different lengths.  A null vec_id has no component
-    and is kept.  Rows of one vec_id are one vector of the first row's kind.  Other columns
-    are not read.
+    and is kept.  Rows of one vec_id are one vector of the first row's kind.  Equally near
+    neighbours are listed by id.  An empty table gives an empty one; other columns, whatever
+    their names, are not read.  ``audited_recall`` is what the last audit found, the same in
+    all rows: RECALL or more, and 1 where all vectors were compared.
     """
     src = table.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"))
     unit = settle(src.transform(arrow_map, _unit, "id bigint, v binary"))
@@ -365,6 +367,7 @@ def near_duplicates(table: DataFrame, threshold: float = 0.9) -> DataFrame:
             log.warning("recall %s with lists of %d: all %d vectors are compared", recall, k, count)
             edges = settle(_all_edges(wide, count, threshold))
             classes = settle(components(edges))
+            recall = 1.0  # nothing can be lost
             break
         k *= 2
         lists = _seeded(wide.select("id", "v"), count, k, range((doubling + 1) * tables, (doubling + 2) * tables), lists)
@@ -374,7 +377,8 @@ def near_duplicates(table: DataFrame, threshold: float = 0.9) -> DataFrame:
     of_row = unit.dropDuplicates(["id"]).join(found, "v").select(F.col("id").alias("vec_id"), "n_links", "component_id")
     out = src.select("vec_id").join(of_row, "vec_id", "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    out = settle(out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))))
+    out = out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    out = settle(out.withColumn("audited_recall", F.lit(float(recall))))
     discard(unit, wide, vectors, lists, edges, classes)
     return out
 
