@@ -52,6 +52,7 @@ def is_allcaps(c: Column) -> Column:
     return c.rlike(r"\p{L}") & ~c.rlike(r"[\p{Ll}\p{Lo}\p{Lt}\p{Lm}]")
 
 
+# Fixed value: a word that is a number, a time, a date or a share.
 DIGIT_TOKEN = "^[0-9][0-9:.,/%+-]*$"
 
 
@@ -73,25 +74,34 @@ def prefer_short_line(a: Column, b: Column) -> Column:
     return F.when(n.between(1, 2) & (n == F.size(words(b))) & is_allcaps(a) & (a != b), b)
 
 
-def arbitrate(text: Column, prob: Column, other: Column, other_prob: Column, least: float) -> Column:
-    """One line from two recognisers: ``struct(text, confidence)``, null if neither is good enough."""
-    first = F.when(prob >= least, F.struct(F.coalesce(prefer_short_line(text, other), merge_digit_words(text, other)).alias("text"), prob.alias("confidence")))
-    best = F.coalesce(first, F.struct(other.alias("text"), other_prob.alias("confidence")))
-    return F.when((F.trim(best["text"]) != "") & (best["confidence"] >= least), best)
+def arbitrate(text: Column, prob: Column, other: Column, other_prob: Column, least: float, ascii_only: bool = False) -> Column:
+    """One line from two recognisers: ``struct(text, confidence)``, null if neither is good enough.
 
+    Texts are trimmed; the other recogniser's line stands in where the first is unsure;
+    ``ascii_only`` takes the marks off; confidences have four digits.
+    """
+    flat = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", "")
+    sure = prob >= least
+    a, b = flat(text), flat(other)
+    line = F.when(sure, F.coalesce(prefer_short_line(a, b), merge_digit_words(a, b))).otherwise(b)
+    p = F.when(sure, prob).otherwise(other_prob)
+    return F.when((line != "") & (p >= least), F.struct((strip_diacritics(line) if ascii_only else line).alias("text"), F.bround(p, 4).alias("confidence")))
 
+
+# Fixed value: a numbered line, "3|text", "3. text" or "3) text", with or without bars or blanks at its end.
 NUMBERED = r"^\s*(\d+)\s*[|.)]\s*(.*?)[|\s]*$"
 
 
 def numbered_lines(c: Column, tag: str = "") -> Column:
-    """``map<int,string>`` of a numbered list; other lines are passed over, the last of a number wins, an echoed tag goes."""
-    lines = F.filter(F.split(c, "\n"), lambda x: x.rlike(NUMBERED))
+    """``map<int,string>`` of a numbered list: lines without a number or a text are passed over, the last of a number wins,
+    an echoed tag goes.  A number too large for an int is -1.  Takes time n log n for n lines."""
     body = lambda x: F.regexp_extract(x, NUMBERED, 2)
-    clean = (lambda x: F.trim(F.when(body(x).startswith(tag), F.substring(body(x), len(tag) + 1, 1 << 30)).otherwise(body(x)))) if tag else body
-    pairs = F.transform(lines, lambda x: F.struct(F.regexp_extract(x, NUMBERED, 1).cast("int").alias("k"), clean(x).alias("v")))
-    # The last of a number wins whatever the session's policy for doubled keys is.
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda q: q["k"] == p["k"]))
-    return F.map_from_entries(last)
+    clean = (lambda x: F.when(body(x).startswith(tag), F.substring(body(x), len(tag) + 1, 1 << 30)).otherwise(body(x))) if tag else body
+    lines = F.filter(F.split(c, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"), lambda x: x.rlike(NUMBERED) & (body(x) != ""))
+    pairs = F.transform(lines, lambda x, i: F.struct(F.coalesce(F.regexp_extract(x, NUMBERED, 1).try_cast("int"), F.lit(-1)).alias("k"), i.alias("i"), clean(x).alias("v")))
+    # Bound as a lambda's variable, the sorted array is made once; equal numbers stand together, the last one last.
+    last = F.transform(F.array(F.array_sort(pairs)), lambda s: F.filter(s, lambda p, i: F.coalesce(F.get(s, i + 1)["k"] != p["k"], F.lit(True))))
+    return F.map_from_entries(F.transform(F.get(last, 0), lambda p: F.struct(p["k"], p["v"])))
 
 
 def numbers_complete(m: Column, n: Column) -> Column:
@@ -104,10 +114,10 @@ def growth_guard(raw: Column, new: Column, truncated: Column, factor: float = 1.
     return F.when(truncated & (letter_count(new) > letter_count(raw) * factor + slack), raw).otherwise(new)
 
 
-def outcome(unmatched: Column, truncated: Column) -> Column:
-    """``ok``, with the numbers of unmatched and truncated lines where there are any."""
+def outcome(unmatched: Column, reverted: Column) -> Column:
+    """``ok``, with the numbers of lines without a match and of cut-off lines that were put back, where there are any."""
     part = lambda n, what: F.when(n > 0, F.concat(n.cast("string"), F.lit(what)))
-    return F.concat_ws("_", F.lit("ok"), part(unmatched, "unmatched"), part(truncated, "truncated"))
+    return F.concat_ws("_", F.lit("ok"), part(unmatched, "unmatched"), part(reverted, "trunc"))
 
 
 def numbered_prompt(lines: Column, truncated: Column, tag: str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import difflib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,54 +76,81 @@ def similarity_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="Float64")
 
 
-def scored_pairs(lines: list[str], slots: list[str], least: float = 0.45, autojunk: bool = True) -> list[tuple[float, int, int]]:
-    """``(ratio, line, slot)`` of the pairs whose ratio is ``least`` or more; pairs that bounds of the ratio exclude are not compared."""
-    out = []
-    for j, b in enumerate(slots):
-        if b is None:
+def ratios(lines: list[str], slots: list[str], least: float = 0.45, autojunk: bool = True) -> np.ndarray:
+    """The matrix of lines by slots with their similarity; -1 for nulls and for pairs that bounds of it show to be below ``least``."""
+    out = np.full((len(lines), len(slots)), -1.0)
+    for j, slot in enumerate(slots):
+        if slot is None:
             continue
-        m = difflib.SequenceMatcher(None, "", b, autojunk)
-        for i, a in enumerate(lines):
-            if a is None:
-                continue
-            m.set_seq1(a)
-            if m.real_quick_ratio() >= least and m.quick_ratio() >= least and (ratio := m.ratio()) >= least:
-                out.append((ratio, i, j))
+        m = difflib.SequenceMatcher(None, "", slot, autojunk)
+        for i, line in enumerate(lines):
+            if line == slot:
+                out[i, j] = 1.0
+            elif line is not None:
+                m.set_seq1(line)
+                if m.real_quick_ratio() >= least and m.quick_ratio() >= least:
+                    out[i, j] = m.ratio()
     return out
 
 
-def best_first(scored: list[tuple[float, int, int]]) -> dict[int, int]:
-    """One-to-one matching of scored pairs, the highest ratio first; of equal ratios the later line, then the later slot."""
-    out: dict[int, int] = {}
-    taken: set[int] = set()
-    for _, i, j in sorted(scored, reverse=True):
-        if i not in out and j not in taken:
-            out[i] = j
-            taken.add(j)
+def best_pairs(ratio: np.ndarray, least: float = 0.45) -> dict[int, int]:
+    """Line to slot, one to one: the best pair of a free line and a free slot is taken until none reaches ``least``.
+    Of equal pairs the one of the last line is taken, and of its slots the last."""
+    free, out = ratio.copy(), {}
+    while free.size:
+        line, slot = divmod(free.size - 1 - int(free[::-1, ::-1].argmax()), free.shape[1])
+        if free[line, slot] < least:
+            break
+        out[line] = slot
+        free[line, :] = free[:, slot] = -1.0
     return out
 
 
 def match_lines(lines: list[str], slots: list[str], least: float = 0.45) -> dict[int, int]:
-    """Best-first one-to-one matching of lines to slots; of equal ratios the later line, then the later slot."""
-    return best_first(scored_pairs(lines, slots, least))
+    """``best_pairs`` of two lists of texts."""
+    return best_pairs(ratios(lines, slots, least), least)
 
 
 @F.pandas_udf(T.MapType(T.IntegerType(), T.IntegerType()))
 def matched_lines(lines: pd.Series, slots: pd.Series) -> pd.Series:
-    """``match_lines`` on arrays of texts in folded form; a picture has few lines."""
-    return pd.Series([match_lines(list(a), list(b)) if a is not None and b is not None else {} for a, b in zip(lines, slots, strict=True)])
+    """``match_lines`` on arrays of texts in folded form; a picture has few lines.
+
+    Equal texts are each other's best match, so where both lists have the same distinct texts no other pair is compared.
+    """
+
+    def one(a, b) -> dict[int, int]:
+        if a is None or b is None:
+            return {}
+        a, b = list(a), list(b)
+        if len(set(a)) == len(a) and len(set(b)) == len(b) and set(a) == set(b) and None not in a:
+            return {i: b.index(x) for i, x in enumerate(a)}
+        return match_lines(a, b)
+
+    return pd.Series([one(a, b) for a, b in zip(lines, slots, strict=True)])
 
 
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("ratio", T.DoubleType()), T.StructField("line", T.IntegerType()), T.StructField("slot", T.IntegerType())])))
 def scored_texts(texts: pd.Series, slots: pd.Series) -> pd.Series:
-    """``scored_pairs`` on arrays of long texts: no character is taken for junk because it is frequent."""
-    return pd.Series([[{"ratio": r, "line": i, "slot": j} for r, i, j in scored_pairs(list(a), list(b), autojunk=False)] for a, b in zip(texts, slots, strict=True)])
+    """The pairs of two arrays of long texts that reach 0.45: no character is taken for junk because it is frequent."""
+
+    def one(a, b) -> list[dict]:
+        r = ratios(list(a), list(b), autojunk=False)
+        return [{"ratio": float(r[i, j]), "line": int(i), "slot": int(j)} for i, j in np.argwhere(r >= 0.45)]
+
+    return pd.Series([one(a, b) for a, b in zip(texts, slots, strict=True)])
 
 
 @F.pandas_udf(T.MapType(T.IntegerType(), T.IntegerType()))
 def matched_scores(scored: pd.Series) -> pd.Series:
-    """``best_first`` on arrays of ``ratio, line, slot``."""
-    return pd.Series([best_first([(x["ratio"], x["line"], x["slot"]) for x in s]) for s in scored])
+    """``best_pairs`` on arrays of ``ratio, line, slot``."""
+
+    def one(rows) -> dict[int, int]:
+        r = np.full((1 + max((x["line"] for x in rows), default=-1), 1 + max((x["slot"] for x in rows), default=-1)), -1.0)
+        for x in rows:
+            r[x["line"], x["slot"]] = x["ratio"]
+        return best_pairs(r)
+
+    return pd.Series([one(s) for s in scored])
 
 
 def keyframe_statistics(shots: DataFrame, keyframes: DataFrame, timing: DataFrame, key: str = "video_id") -> DataFrame:

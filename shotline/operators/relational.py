@@ -69,20 +69,28 @@ def must_meet(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right, key, "left")
 
 
-def enrich(base: DataFrame, updates: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Non-null updates overwrite; an empty text or map is a value and does too."""
-    new = updates.select(key, *(F.col(c).alias(f"_new_{c}") for c in columns))
+def one_per_key(rows: DataFrame, key: str, order: str | None = None, first: bool = False) -> DataFrame:
+    """The last row of each key by ``order``, or the first; without one, and among equals, by what the rows hold."""
+    by = F.struct(*([order] if order else []), F.to_json(F.struct(*rows.columns)))
+    return rows.groupBy(F.col(key).alias("_key")).agg((F.min_by if first else F.max_by)(F.struct(*rows.columns), by).alias("_row")).select("_row.*")
+
+
+def enrich(base: DataFrame, updates: DataFrame, key: str, columns: Sequence[str], order: str | None = None) -> DataFrame:
+    """Non-null updates overwrite; an empty text or map is a value and does too.  Of a key's updates the last counts."""
+    new = one_per_key(updates.select(key, *columns, *([order] if order and order not in columns else [])), key, order)
+    new = new.select(key, *(F.col(c).alias(f"_new_{c}") for c in columns))
     both = base.join(new, key, "left")
     return both.select(*((F.coalesce(f"_new_{c}", c).alias(c) if c in columns else F.col(c)) for c in base.columns))
 
 
-def insert_if_absent(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    return old.unionByName(new.dropDuplicates([key]).join(old.select(key), key, "left_anti"), allowMissingColumns=True)
+def insert_if_absent(old: DataFrame, new: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """Rows of new keys added; of a key's new rows the first counts."""
+    return old.unionByName(one_per_key(new, key, order, first=True).join(old.select(key), key, "left_anti"), allowMissingColumns=True)
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Whole rows replaced by key, others added."""
-    return old.join(new.select(key), key, "left_anti").unionByName(new.dropDuplicates([key]), allowMissingColumns=True)
+def upsert(old: DataFrame, new: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """Whole rows replaced by key, others added; of a key's new rows the last counts."""
+    return old.join(new.select(key), key, "left_anti").unionByName(one_per_key(new, key, order), allowMissingColumns=True)
 
 
 def refresh(old: DataFrame, new: DataFrame, partition: str) -> DataFrame:
@@ -125,3 +133,20 @@ def skip_counters(rows: DataFrame, reasons: dict[str, Column]) -> DataFrame:
     """How many rows each reason holds for, a row counting for its first reason only."""
     first = F.coalesce(*(F.when(c, F.lit(n)) for n, c in reasons.items()), F.lit("processed"))
     return rows.select(first.alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def histogram(rows: DataFrame, value: str, id: str, name: str) -> DataFrame:
+    """``value, n, name``: rows and distinct ids of each value."""
+    return rows.groupBy(value).agg(F.count("*").alias("n"), F.count_distinct(id).alias(name))
+
+
+def nested_counts(parents: DataFrame, children: DataFrame, group: str, key: str, parent_count: str, child_count: str) -> DataFrame:
+    """Per group the parents that have children, and these; children are counted before they are joined."""
+    n = children.groupBy(key).agg(F.count("*").alias("_n"))
+    return parents.join(n, key).groupBy(group).agg(F.count("*").alias(parent_count), F.sum("_n").alias(child_count))
+
+
+def set_sizes(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``op, n`` of the four set operations."""
+    sized = lambda df, op: df.agg(F.count("*").alias("n")).select(F.lit(op).alias("op"), "n")
+    return sized(a.union(b).distinct(), "union").union(sized(a.intersect(b), "intersect")).union(sized(a.subtract(b), "except")).union(sized(a.union(b), "union_all"))

@@ -11,7 +11,7 @@ from ..functions import media as M
 from ..functions import text as X
 from ..functions import vectors as V
 from ..operators import metrics, relational as R, rules, sequence as S, timeline as T
-from . import search, stages
+from . import ingest, search, stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -437,7 +437,7 @@ def kf_statistics(spark, sf):
 
 @query("SELECT event_type AS outcome, count(*) AS n, count(DISTINCT user_id) AS videos FROM events GROUP BY event_type")
 def outcome_histogram(spark, sf):
-    return table(spark, sf, "events").groupBy(F.col("event_type").alias("outcome")).agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("videos"))
+    return R.histogram(table(spark, sf, "events").withColumnRenamed("event_type", "outcome"), "outcome", "user_id", "videos")
 
 
 @query("SELECT CASE WHEN value < 15 THEN 'blank' WHEN value < 50 THEN 'blurry' WHEN event_type = 'view' THEN 'similar' ELSE 'processed' END AS reason, count(*) AS n FROM events GROUP BY ALL")
@@ -447,8 +447,7 @@ def skip_counters(spark, sf):
 
 @query("SELECT c_nationkey, count(*) AS num_shots, CAST(sum(o.n) AS BIGINT) AS num_keyframes FROM customer JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) o ON c_custkey = o_custkey GROUP BY c_nationkey")
 def video_counts(spark, sf):
-    o = table(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
-    return table(spark, sf, "customer").join(o, F.col("c_custkey") == F.col("o_custkey")).groupBy("c_nationkey").agg(F.count("*").alias("num_shots"), F.sum("n").alias("num_keyframes"))
+    return R.nested_counts(table(spark, sf, "customer"), table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_nationkey", "c_custkey", "num_shots", "num_keyframes")
 
 
 # ---- joins, merges, sets ----------------------------------------------------------------------
@@ -461,11 +460,19 @@ def hydrate_ordered(spark, sf):
     return R.hydrate(_IDS, table(spark, sf, "orders"), "o_orderkey").select("pos", "o_orderkey", "o_custkey", "o_orderstatus")
 
 
-@query("SELECT d.doc_id, d.source AS video_id, coalesce(l.quality, -1) AS quality, coalesce(l.toxic, -1) AS toxic, coalesce(d.lang, '') AS caption, list_sort(map_keys(map([d.lang, d.source], [1, 2])))[1] AS first_tag, 'batch2' AS batch FROM documents d LEFT JOIN labels l USING (doc_id)")
+@query(
+    """SELECT CAST(d.doc_id AS VARCHAR) AS frame_id, d.source AS video_id, d.source AS shot_id, d.doc_id AS frame_idx, d.n_chars AS timestamp_ms, d.lang AS ocr_text, '' AS ocr_api, CASE WHEN l.quality = 1 THEN 'good' ELSE '' END AS caption,
+coalesce(s.transcript, '') AS transcript, CASE WHEN l.toxic IS NULL THEN [] WHEN l.toxic = 1 THEN ['labelled', 'toxic'] ELSE ['labelled'] END AS object_tags
+FROM documents d LEFT JOIN labels l USING (doc_id) LEFT JOIN (SELECT source, concat('about ', max(lang)) AS transcript FROM documents WHERE source <> 'src0' GROUP BY source) s ON d.source = s.source"""
+)
 def frame_doc_build(spark, sf):
-    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
-    tags = F.array_sort(F.map_keys(F.create_map("lang", F.lit(1), "source", F.lit(2))))
-    return d.select("doc_id", F.col("source").alias("video_id"), *(F.coalesce(c, F.lit(-1)).alias(c) for c in ("quality", "toxic")), F.coalesce("lang", F.lit("")).alias("caption"), F.get(tags, 0).alias("first_tag"), F.lit("batch2").alias("batch"))
+    d, labels = table(spark, sf, "documents"), table(spark, sf, "labels").withColumn("keyframe_id", F.col("doc_id").cast("string"))
+    base = ingest.served_frames(d.select(F.col("doc_id").cast("string").alias("keyframe_id"), F.col("source").alias("video_id"), F.col("source").alias("shot_id"), F.col("doc_id").alias("frame_idx"), F.col("n_chars").alias("timestamp_ms"), F.lit("").alias("image_path")))
+    tags = F.map_filter(F.create_map(F.lit("toxic"), F.col("toxic").cast("double"), F.lit("labelled"), F.lit(1.0)), lambda k, v: v > 0)
+    frames = R.enrich(base, labels.select("keyframe_id", tags.alias("objects"), F.when(F.col("quality") == 1, "good").alias("caption")), "keyframe_id", ["objects", "caption"])
+    frames = R.enrich(frames, d.select(F.col("doc_id").cast("string").alias("keyframe_id"), F.col("lang").alias("ocr_text")), "keyframe_id", ["ocr_text"])
+    shots = d.where("source <> 'src0'").groupBy(F.col("source").alias("shot_id")).agg(F.concat(F.lit("about "), F.max("lang")).alias("transcript"))
+    return ingest.index_docs(frames, shots)
 
 
 @query("SELECT doc_id, lang AS value, 'old' AS origin FROM documents WHERE lang <> 'en' UNION ALL SELECT doc_id, CAST(quality AS VARCHAR), 'new' FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang <> 'en')")
@@ -522,15 +529,13 @@ def positional_zip(spark, sf):
 
 @query("SELECT 'union' AS op, count(*) AS n FROM (SELECT doc_id FROM documents UNION SELECT doc_id FROM labels) UNION ALL SELECT 'intersect', count(*) FROM (SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels) UNION ALL SELECT 'except', count(*) FROM (SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels) UNION ALL SELECT 'union_all', (SELECT count(*) FROM documents) + (SELECT count(*) FROM labels)")
 def set_operations(spark, sf):
-    a, b = table(spark, sf, "documents").select("doc_id"), table(spark, sf, "labels").select("doc_id")
-    sized = lambda df, op: df.agg(F.count("*").alias("n")).select(F.lit(op).alias("op"), "n")
-    return sized(a.union(b).distinct(), "union").union(sized(a.intersect(b), "intersect")).union(sized(a.subtract(b), "except")).union(sized(a.union(b), "union_all"))
+    return R.set_sizes(table(spark, sf, "documents").select("doc_id"), table(spark, sf, "labels").select("doc_id"))
 
 
-@query("SELECT (SELECT count(*) FROM documents) AS wanted, (SELECT count(DISTINCT doc_id) FROM labels WHERE doc_id IN (SELECT doc_id FROM documents)) AS done, (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) = 0 AS complete")
+@query("SELECT doc_id, lang FROM documents")
 def completeness_gate(spark, sf):
-    d, done = table(spark, sf, "documents").select("doc_id"), table(spark, sf, "labels").select("doc_id").distinct().withColumn("_d", F.lit(1))
-    return d.join(done, "doc_id", "left").agg(F.count("*").alias("wanted"), F.count("_d").alias("done")).withColumn("complete", F.col("wanted") == F.col("done"))
+    # Every label's document is there, so the gate opens.
+    return R.complete_or_raise(table(spark, sf, "documents").select("doc_id", "lang"), table(spark, sf, "labels").select("doc_id"), "doc_id")
 
 
 # ---- text functions ---------------------------------------------------------------------------
@@ -561,21 +566,47 @@ def prefer_short_line(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", X.prefer_short_line(F.col("c_mktsegment"), F.lower("c_mktsegment")).alias("preferred"))
 
 
-@query("SELECT conv_id, list_sort(list(turn + 1)) = range(1, count(*) + 1) AS complete, string_agg(concat(turn + 1, '|', regexp_replace(text, '[|\\s]+', ' ', 'g')), chr(10) ORDER BY turn) AS prompt FROM (SELECT conv_id, turn, any_value(text) AS text FROM conversations GROUP BY ALL HAVING count(*) = 1) GROUP BY conv_id")
+@query(
+    r"""WITH t AS (SELECT conv_id, turn + 1 AS k, regexp_replace(min(text), '[|\s]+', ' ', 'g') AS line FROM conversations WHERE text IS NOT NULL GROUP BY conv_id, turn)
+SELECT conv_id, coalesce(list_sort(list(k) FILTER (trim(line) <> '')), []) = range(1, count(*) + 1) AS complete, string_agg(concat(k, '|', line), chr(10) ORDER BY k) AS prompt FROM t GROUP BY conv_id"""
+)
 def numbered_lines(spark, sf):
-    c = table(spark, sf, "conversations").groupBy("conv_id", "turn").agg(F.count("*").alias("k"), F.first("text").alias("text")).where("k = 1")
+    # Of a repeated turn one text stays; a line without a text has no number in a reply.
+    c = table(spark, sf, "conversations").where("text is not null").groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
     line = F.struct("turn", F.concat((F.col("turn") + 1).cast("string"), F.lit("|"), F.regexp_replace("text", r"[|\s]+", " ")).alias("line"))
     g = c.groupBy("conv_id").agg(F.array_join(F.array_sort(F.collect_list(line))["line"], "\n").alias("prompt"), F.count("*").cast("int").alias("n"))
     return g.select("conv_id", X.numbers_complete(X.numbered_lines(F.col("prompt")), F.col("n")).alias("complete"), "prompt")
 
 
+_CASES = """r AS (SELECT l_orderkey, list_sort(list(DISTINCT concat('item ', l_partkey, ' from ', l_suppkey, ' of ', l_linenumber))) AS raw, l_orderkey % 5 AS kind FROM lineitem GROUP BY l_orderkey)"""
+
+
+@query(
+    f"""WITH {_CASES}
+SELECT l_orderkey, CASE kind WHEN 3 THEN list_concat([concat(raw[1], ' and what else can be read')], raw[2:]) ELSE raw END AS lines,
+CASE kind WHEN 1 THEN 'bad_format' WHEN 2 THEN 'ok_1unmatched' WHEN 4 THEN 'ok_1unmatched_1trunc' ELSE 'ok' END AS outcome FROM r"""
+)
+def corrected_lines(spark, sf):
+    """Replies whose numbers are turned round (0), one of which is missing (1), one line of which is like no other (2), or of which the
+    first line grew, whole (3) or cut off (4); what a line is like does not hang on more than equality or total difference."""
+    line = F.concat(F.lit("item "), F.col("l_partkey").cast("string"), F.lit(" from "), F.col("l_suppkey").cast("string"), F.lit(" of "), F.col("l_linenumber").cast("string"))
+    r = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_set(line)).alias("raw")).withColumn("kind", F.col("l_orderkey") % 5)
+    first = F.get("raw", 0)
+    first = F.when(F.col("kind") == 2, "###").when(F.col("kind") >= 3, F.concat(first, F.lit(" and what else can be read"))).otherwise(first)
+    answer = F.reverse(F.concat(F.array(first), F.slice("raw", 2, F.greatest(F.size("raw") - 1, F.lit(0)))))
+    answer = F.when(F.col("kind") == 1, F.slice(answer, 1, F.size("raw") - 1)).otherwise(answer)
+    reply = F.array_join(F.transform(answer, lambda t, i: F.concat((i + 1).cast("string"), F.lit("|"), t)), "\n")
+    cut = F.transform("raw", lambda t, i: (i == 0) & (F.col("kind") == 4))
+    return stages.apply_correction(r.select("l_orderkey", "raw", cut.alias("truncated"), reply.alias("reply"))).select("l_orderkey", "lines", "outcome")
+
+
 @query("SELECT doc_id, array_to_string(list_transform(list_filter(string_split(text, chr(10)), lambda x: length(x) >= 20), lambda x: x), ' ') AS joined FROM documents")
 def ocr_join_text(spark, sf):
     texts = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("text"), (F.length(x) / F.lit(20.0)).alias("confidence")))
     return table(spark, sf, "documents").select("doc_id", M.joined_text(texts, 1.0).alias("joined"))
 
 
-@query("SELECT doc_id, concat_ws('_', 'ok', CASE WHEN n_chars % 3 > 0 THEN concat(n_chars % 3, 'unmatched') END, CASE WHEN n_chars % 2 > 0 THEN concat(n_chars % 2, 'truncated') END) AS outcome, CASE WHEN n_chars % 2 = 1 AND length(regexp_replace(text, '\\s', '', 'g')) > length(regexp_replace(source, '\\s', '', 'g')) * 1.15 + 3 THEN source ELSE text END AS guarded FROM documents")
+@query("SELECT doc_id, concat_ws('_', 'ok', CASE WHEN n_chars % 3 > 0 THEN concat(n_chars % 3, 'unmatched') END, CASE WHEN n_chars % 2 > 0 THEN concat(n_chars % 2, 'trunc') END) AS outcome, CASE WHEN n_chars % 2 = 1 AND length(regexp_replace(text, '\\s', '', 'g')) > length(regexp_replace(source, '\\s', '', 'g')) * 1.15 + 3 THEN source ELSE text END AS guarded FROM documents")
 def outcome_tags(spark, sf):
     n = F.col("n_chars")
     return table(spark, sf, "documents").select("doc_id", X.outcome(n % 3, n % 2).alias("outcome"), X.growth_guard(F.col("source"), F.col("text"), n % 2 == 1).alias("guarded"))

@@ -4,11 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..errors import InputError
 from ..functions import media as M
@@ -57,24 +54,32 @@ def playable(videos: DataFrame) -> tuple[DataFrame, DataFrame]:
 # ---- what to skip, and whose result to reuse ------------------------------------------------------
 
 
-def skip_reasons(luma: Column, sharpness: Column, blank: float = 15.0, blurry: float = 50.0) -> Column:
+# Mean brightness of a blank picture, variance of a blurry one's edges.
+BLANK, BLURRY = 15.0, 50.0
+# The share of a picture's rows at its top and at its bottom where a banner may be, and how much stronger its edges then are.
+TOP, BOTTOM, STRONGER = 0.12, 0.28, 2.0
+# Fixed value: what a cut-off line is marked with in a request.
+CUT_TAG = "[CẮT] "
+
+
+def skip_reasons(luma: Column, sharpness: Column, blank: float = BLANK, blurry: float = BLURRY) -> Column:
     return F.when(luma < blank, "blank").when(sharpness < blurry, "blurry")
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def news_band(rows: pd.Series) -> pd.Series:
-    """``[first, last]`` row of what is left when a picture's banner goes: rows of edge energy, of which the bottom 28 % or
-    the top 12 % is a banner if its mean is at least twice that of the others."""
-    out = []
-    for r in rows:
-        e = np.asarray(r, float)
-        n = len(e)
-        top, bottom = int(n * 0.12), n - int(n * 0.28)
-        rest = max(float(e[top:bottom].mean()) if bottom > top else 0.0, 1e-9)
-        lo = top if top and e[:top].mean() >= 2 * rest else 0
-        hi = bottom if bottom < n and e[bottom:].mean() >= 2 * rest else n
-        out.append([lo, hi - 1])
-    return pd.Series(out)
+def news_bands(energy: Column, top: float = TOP, bottom: float = BOTTOM, stronger: float = STRONGER) -> Column:
+    """``array<struct(first, last)>``: the rows of a picture to read, from the edge energy of each row.
+
+    The strip at the top, the one at the bottom, or both, where their mean energy is
+    ``stronger`` times that of the rows between them; the whole picture where neither is.
+    """
+    n = F.size(energy)
+    until, since = F.greatest(F.lit(1), F.floor(n * top)), F.least(n - 1, F.floor(n * F.lit(1.0 - bottom)))
+    mean = lambda a, b: F.aggregate(F.slice(energy, (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int")), F.lit(0.0), lambda s, x: s + x) / F.nullif(F.greatest(b - a, F.lit(0)), F.lit(0))
+    between = mean(until, since) + 1e-6
+    rows = lambda a, b: F.struct(a.cast("int").alias("first"), (b - 1).cast("int").alias("last"))
+    strip = lambda a, b: F.when(mean(a, b) / between >= stronger, rows(a, b))
+    strips = F.array_compact(F.array(strip(F.lit(0), until), strip(since, n)))
+    return F.when(n > 0, F.when(F.size(strips) > 0, strips).otherwise(F.array(rows(F.lit(0), n))))
 
 
 def shared_requests(ocr: DataFrame, key: str = "video_id", order: str = "frame_id") -> tuple[DataFrame, DataFrame]:
@@ -92,25 +97,28 @@ def share_results(runs: DataFrame, results: DataFrame, key: str = "video_id") ->
 # ---- corrected text ---------------------------------------------------------------------------------
 
 
-def apply_correction(rows: DataFrame, tag: str = "[CẮT] ") -> DataFrame:
+def apply_correction(rows: DataFrame, tag: str = CUT_TAG) -> DataFrame:
     """``rows(raw array<string>, truncated array<boolean>, reply string)`` with ``lines`` and ``outcome``.
 
-    A reply is a numbered list.  If its numbers are those asked for, lines are taken by
-    number; else replies are matched with raw lines by likeness, and a line without a match
-    stays raw.  A truncated line that grew too much stays raw.
+    A reply is a numbered list.  Unless its numbers are exactly 1 to n, all lines stay raw
+    (``bad_format``).  If they are, its lines are placed by likeness, not by number: a slot
+    that none is like stays raw (``unmatched``, if the reply does not have that line either),
+    and so does a cut-off line that grew too much (``trunc``).
     """
     n = F.size("raw")
-    reply = X.numbered_lines(F.coalesce("reply", F.lit("")), tag)
-    rows = rows.withColumn("_m", reply).withColumn("_v", F.map_values("_m"))
+    rows = rows.withColumn("_m", X.numbered_lines(F.coalesce("reply", F.lit("")), tag)).withColumn("_ok", (n > 0) & X.numbers_complete(F.col("_m"), n))
+    rows = rows.withColumn("_v", F.when(F.col("_ok"), F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.element_at("_m", i))))
     fold = lambda c: F.transform(c, lambda t: X.unaccented(t))
-    rows = rows.withColumn("_back", F.map_from_entries(F.transform(F.map_entries(metrics.matched_lines(fold(F.col("_v")), fold(F.col("raw")))), lambda e: F.struct(e["value"], e["key"]))))
-    exact = X.numbers_complete(F.col("_m"), n)
-    matched = lambda i: F.when(exact, F.element_at("_m", i + 1)).otherwise(F.get("_v", F.element_at("_back", i)))
-    cut = lambda i: F.coalesce(F.get("truncated", i), F.lit(False))
-    lines = F.transform("raw", lambda t, i: X.growth_guard(t, F.coalesce(matched(i), t), cut(i)))
-    unmatched = F.when(exact, F.lit(0)).otherwise(n - F.size("_back"))
-    tagged = F.when(n == 0, F.lit("empty_input")).when((F.size("_m") == 0), F.lit("bad_format")).otherwise(X.outcome(unmatched, F.size(F.filter(F.coalesce("truncated", F.array().cast("array<boolean>")), lambda b: b))))
-    return rows.withColumns({"lines": lines, "outcome": tagged}).drop("_m", "_v", "_back")
+    rows = rows.withColumn("_slot", F.map_from_entries(F.transform(F.map_entries(metrics.matched_lines(fold(F.col("_v")), fold(F.col("raw")))), lambda e: F.struct(e["value"], e["key"]))))
+    placed = F.transform("raw", lambda t, i: F.coalesce(F.get("_v", F.element_at("_slot", i)), t))
+    rows = rows.withColumn("_p", placed)
+    guarded = lambda p, i: X.growth_guard(F.get("raw", i), p, F.coalesce(F.get("truncated", i), F.lit(False)))
+    rows = rows.withColumn("lines", F.when(F.col("_ok"), F.transform("_p", guarded)).otherwise(F.col("raw")))
+    both = F.arrays_zip(F.col("raw"), F.col("_p"), F.col("lines"))
+    count = lambda test: F.size(F.filter(both, test))
+    unmatched = count(lambda x: (x["lines"] == x["raw"]) & ~F.array_contains("_v", x["lines"]))
+    tagged = F.when(n == 0, "empty_input").when(~F.col("_ok"), "bad_format").otherwise(X.outcome(unmatched, count(lambda x: x["lines"] != x["_p"])))
+    return rows.withColumn("outcome", tagged).drop("_m", "_ok", "_v", "_slot", "_p")
 
 
 # ---- captions -------------------------------------------------------------------------------------------

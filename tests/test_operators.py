@@ -143,6 +143,7 @@ def test_metrics(spark, rows):
     pr = metrics.precision_recall(e.where("k = 'a'"), e.where("i in (1, 3)"), "k", "i", "v", 0.8)
     assert rows(pr) == [("a", 0.5, 1.0, pytest.approx(2 / 3)), ("b", 0.0, 0.0, 0.0)]
     assert metrics.match_lines(["abc", "abd"], ["abd", "zzz"]) == {1: 0}
+    assert metrics.match_lines(["a", "a"], ["a", "a"]) == {1: 1, 0: 0} and metrics.match_lines([], ["a"]) == metrics.match_lines([None], ["a"]) == {}
     lines = spark.createDataFrame([("f", "Chợ hoa"), ("f", "abc"), ("f", "không")], "k string, line string")
     assert rows(metrics.line_recall(lines, spark.createDataFrame([("f", "cho  HOA tet")], "k string, text string"), "k")) == [("f", 1, 2)]
 

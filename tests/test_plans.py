@@ -12,7 +12,7 @@ from shotline.plans import queries, search
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no generated tables")
 #: Queries that may compare a row with one row of statistics, and those whose single partition holds counts of partitions.
-PYTHON = {"keep_last_similarity", "keep_last_scores", "near_dup_reuse", "line_matching", "keyframe_extraction"}
+PYTHON = {"corrected_lines", "keep_last_similarity", "keep_last_scores", "near_dup_reuse", "line_matching", "keyframe_extraction"}
 
 
 def plan(df):

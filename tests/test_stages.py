@@ -28,14 +28,30 @@ def test_shared_requests(spark, rows):
 
 
 def test_corrections(spark):
-    df = spark.createDataFrame(
-        [(1, ["cho hoa", "tet"], [False, False], "1|chợ hoa\n2|tết"), (2, ["cho hoa", "tet den"], [False, True], "2) Tết đến rồi mọi người ơi\n7) chợ hoa"), (3, ["a"], None, "nothing"), (4, [], [], "1|x")],
-        "id int, raw array<string>, truncated array<boolean>, reply string",
-    )
+    cases = [
+        (["cho hoa", "tet"], [False, False], "1|chợ hoa\n2|tết", ["chợ hoa", "tết"], "ok"),
+        # Numbers swapped: the lines are placed by what they say.
+        (["cho hoa", "tet den roi"], None, "1|tết đến rồi\n2|chợ hoa", ["chợ hoa", "tết đến rồi"], "ok"),
+        # A number missing, one too many, or one without a text: all lines stay raw.
+        (["cho hoa", "tet"], None, "1|chợ hoa", ["cho hoa", "tet"], "bad_format"),
+        (["cho hoa"], None, "1|chợ hoa\n2|tết", ["cho hoa"], "bad_format"),
+        (["cho hoa", "tet"], None, "1|\n2|tết", ["cho hoa", "tet"], "bad_format"),
+        (["a"], None, "nothing", ["a"], "bad_format"),
+        (["a"], None, None, ["a"], "bad_format"),
+        (["a"], None, "1|b\n99999999999|c", ["a"], "bad_format"),
+        # A line that is like no slot leaves the slot raw.
+        (["cho hoa", "tet"], None, "1|chợ hoa\n2|QWXZ", ["chợ hoa", "tet"], "ok_1unmatched"),
+        # A cut-off line that grew is put back, and counted as such and as without a match; one that did not grow is neither.
+        (["cho hoa", "tet den"], [False, True], "1|chợ hoa\n2|tết đến rồi mọi", ["chợ hoa", "tet den"], "ok_1unmatched_1trunc"),
+        (["cho hoa", "tet den"], [False, True], "1|chợ hoa\n2|[CẮT] tết đến", ["chợ hoa", "tết đến"], "ok"),
+        (["cho hoa", "tet den"], [False, False], "1|chợ hoa\n2|tết đến rồi mọi", ["chợ hoa", "tết đến rồi mọi"], "ok"),
+        (["x", "x"], None, "2|x\n1|x\n1|x", ["x", "x"], "ok"),
+        ([], [], "1|x", [], "empty_input"),
+    ]
+    df = spark.createDataFrame([(i, *c[:3]) for i, c in enumerate(cases)], "id int, raw array<string>, truncated array<boolean>, reply string")
     got = {r["id"]: (r["lines"], r["outcome"]) for r in stages.apply_correction(df).collect()}
-    assert got[1] == (["chợ hoa", "tết"], "ok")
-    assert got[2][0][0] == "chợ hoa" and got[2][0][1] == "tet den" and got[2][1].endswith("1truncated")
-    assert got[3] == (["a"], "bad_format") and got[4] == ([], "empty_input")
+    for i, c in enumerate(cases):
+        assert got[i] == (c[3], c[4]), c
 
 
 def test_captions(spark, rows):
@@ -49,11 +65,31 @@ def test_captions(spark, rows):
         stages.with_hints(k, ocr.withColumn("frame_id", F.lit("zz")), None)
 
 
+def test_bands_are_kept(spark):
+    import numpy as np
+
+    r = np.random.default_rng(0)
+    rows = [[1.0] * 72 + [9.0] * 28, [1.0] * 100, [9.0] * 12 + [1.0] * 60 + [9.0] * 28, [9.0] * 12 + [1.0] * 88, [5.0], [], *(list(r.choice([1.0, 4.0], p=[0.7, 0.3]) * r.random(n)) for n in (2, 3, 9, 50, 101))]
+
+    def want(e):
+        h = len(e)
+        if not h:
+            return None
+        top, low = max(1, int(h * 0.12)), min(h - 1, int(h * (1.0 - 0.28)))
+        mean = lambda x: np.mean(x) if len(x) else np.nan
+        mid = mean(e[top:low]) + 1e-6
+        got = [b for b, part in (((0, top - 1), e[:top]), ((low, h - 1), e[low:])) if mean(part) / mid >= 2.0]
+        return got or [(0, h - 1)]
+
+    df = spark.createDataFrame([(i, [float(x) for x in e]) for i, e in enumerate(rows)], "i int, e array<double>")
+    got = {x["i"]: x["b"] and [tuple(b) for b in x["b"]] for x in df.select("i", stages.news_bands(F.col("e")).alias("b")).collect()}
+    assert got[0] == [(72, 99)] and got[1] == [(0, 99)] and got[2] == [(0, 11), (72, 99)] and got[3] == [(0, 11)]
+    assert got == {i: want(e) for i, e in enumerate(rows)}
+
+
 def test_policies(spark):
     assert [stages.write_policy(*a) for a in ((False, False, False), (True, True, False), (True, False, True))] == ["create", "resume", "overwrite"]
     for a in ((True, False, False), (False, True, True)):
         with pytest.raises(InputError):
             stages.write_policy(*a)
-    df = spark.createDataFrame([([1.0] * 72 + [9.0] * 28,), ([1.0] * 100,)], "e array<double>")
-    assert [r[0] for r in df.select(stages.news_band("e")).collect()] == [[0, 71], [0, 99]]
     assert [r[0] for r in spark.createDataFrame([(1.0, 99.0), (20.0, 10.0), (20.0, 60.0)], "l double, s double").select(stages.skip_reasons(F.col("l"), F.col("s"))).collect()] == ["blank", "blurry", None]
