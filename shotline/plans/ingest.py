@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,10 +79,12 @@ def ingest(store: Store, *, shots, transcripts, keyframes, segments, detections,
     store.upsert("videos", videos.select("video_id", "fps", "num_shots", F.coalesce("num_keyframes", F.lit(0)).alias("num_keyframes"), F.lit(batch).alias("batch")), "video_id")
     frames = store.read("frames").join(keyframes.select("video_id").distinct(), "video_id", "left_semi")
     store.refresh("frame_text", index_docs(frames, store.read("shots")), "video_id")
-    key = F.concat_ws("/", "model", "video_id")
-    for model, df in vectors.items():
-        new = vector_rows(df, store.read("frames"), model)
-        store.put("vectors", R.refresh(store.read("vectors").withColumn("_p", key), new.withColumn("_p", key), "_p").drop("_p") if store.has("vectors") else new)
-    store.set_synced(keyframes.select("keyframe_id"), "elastic")
-    for df in vectors.values():
-        store.set_synced(df.select(F.col("id").alias("keyframe_id")), "milvus")
+    whole = store.read("frames")
+    new = functools.reduce(DataFrame.union, (vector_rows(df, whole, model) for model, df in vectors.items())) if vectors else None
+    if new is not None:
+        pair = lambda df: df.withColumn("_pair", F.concat_ws("/", "model", "video_id"))
+        store._merge("vectors", new, lambda old, rows: R.refresh(pair(old), pair(rows), "_pair").drop("_pair"))
+    synced = {"elastic": keyframes.select("keyframe_id")}
+    if new is not None:
+        synced["milvus"] = new.select(F.col("frame_id").alias("keyframe_id"))
+    store.set_synced(synced)

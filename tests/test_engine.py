@@ -111,6 +111,69 @@ def test_sinks(spark, tmp_path, rows):
     assert O.bytes_stored(spark.createDataFrame([(bytearray(b"abc"),)], "content binary")) == 3
 
 
+def test_replace_never_loses_the_table(spark, tmp_path, monkeypatch):
+    path, one, two = str(tmp_path / "t"), spark.range(1), spark.range(2)
+    O.replace(one, path)
+    real, calls = O._rename, []
+
+    def failing(at):
+        def rename(fs, a, b):
+            calls.append((str(a), str(b)))
+            if len(calls) == at:
+                raise OSError("gone")
+            real(fs, a, b)
+
+        return rename
+
+    for at in (1, 2):  # the old table stays, or comes back
+        calls.clear()
+        monkeypatch.setattr(O, "_rename", failing(at))
+        with pytest.raises(OSError):
+            O.replace(two, path)
+        assert spark.read.parquet(path).count() == 1
+    calls.clear()
+    monkeypatch.setattr(O, "_rename", lambda fs, a, b: calls.append(1) or (real(fs, a, b) if len(calls) == 1 else (_ for _ in ()).throw(KeyboardInterrupt())))
+    with pytest.raises(KeyboardInterrupt):  # the program ends between the two steps, and cannot put the old one back
+        O.replace(two, path)
+    monkeypatch.setattr(O, "_rename", real)
+    assert not I.exists(spark, path)
+    store = O.Store(spark, str(tmp_path))
+    assert store.has("t") and store.read("t").count() == 1
+    O.replace(two, path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_merges_touch_only_their_folders(spark, tmp_path, rows):
+    import os
+
+    store = O.Store(spark, str(tmp_path), ["frames"])
+    d = lambda *r: spark.createDataFrame(r, "video_id string, keyframe_id string, x string")
+    store.upsert("frames", d(*((f"v{i}", f"v{i}_1", "a") for i in range(40)), ("v1", "v1_1", "a")), "keyframe_id")
+    stamp = lambda: {os.path.join(p, f): os.stat(os.path.join(p, f)).st_mtime_ns for p, _, fs in os.walk(tmp_path / "frames") for f in fs if f.endswith(".parquet")}
+    before = stamp()
+    store.upsert("frames", d(("v7", "v7_1", "b"), ("v7", "v7_2", "b"), ("v7", "v7_2", "c")), "keyframe_id")
+    store.enrich("frames", d(("v7", "v7_1", "z"), ("v7", "v7_1", "y")), "keyframe_id", ["x"])
+    store.insert_if_absent("frames", d(("v7", "v7_1", "no"), ("v7", "v7_3", "n")), "keyframe_id")
+    assert len(set(before) - set(stamp())) == 1  # one folder's file is another
+    assert store.read("frames").columns == ["video_id", "keyframe_id", "x"]
+    assert rows(store.read("frames").where("video_id = 'v7'").select("keyframe_id", "x")) == [("v7_1", "z"), ("v7_2", "c"), ("v7_3", "n")]
+    assert store.read("frames").count() == 42
+    store.purge("v7", ["frames"])
+    assert store.read("frames").count() == 39
+    for i in range(40):
+        store.purge(f"v{i}", ["frames"])
+    assert store.read("frames").count() == 0 and store.read("frames").columns == ["video_id", "keyframe_id", "x"]
+    store.upsert("frames", d(("v", "v_1", "a")), "keyframe_id")
+    assert store.read("frames").count() == 1
+
+
+def test_pictures(spark, tmp_path):
+    df = spark.createDataFrame([("v1", "a.jpg", bytearray(b"abc")), ("v2", "b.jpg", bytearray(b"defg")), ("v2", "c.jpg", None)], "video_id string, name string, content binary")
+    assert O.images(df, str(tmp_path / "pics")) == 7 and (tmp_path / "pics/v2/b.jpg").read_bytes() == b"defg"
+    (tmp_path / "file").write_text("x")
+    assert O.csv(df.drop("content"), str(tmp_path / "file/sum"), str(tmp_path / "other")) == str(tmp_path / "other")
+
+
 def world(spark, store):
     d = spark.createDataFrame
     texts = lambda t: [(t, 0.9, None), ("low", 0.1, None)]

@@ -106,6 +106,10 @@ def test_merges(spark, rows):
     assert pick(R.insert_if_absent(old, new, "id")) == [(1, "a"), (2, "b"), (3, "c")]
     assert pick(R.upsert(old, new, "id")) == [(1, ""), (2, None), (3, "c")]
     assert pick(R.refresh(old, new.where("id = 2"), "id")) == [(1, "a"), (2, None)]
+    twice = new.withColumn("o", F.lit(1)).union(new.withColumn("o", F.lit(2)).withColumn("t", F.lit("last")))
+    assert R.enrich(old, twice, "id", ["t"], "o").count() == old.count()
+    assert {r["t"] for r in R.upsert(old, twice, "id", "o").where("id in (1, 2, 3)").collect()} == {"last"}
+    assert [r["t"] for r in R.insert_if_absent(old, twice, "id", "o").where("id = 3").collect()] == ["c"]
     assert pick(R.hydrate([2, 1, 9, 2], old, "id")) == [(1, "a"), (2, "b"), (2, "b")]
     assert [r["id"] for r in R.hydrate([2, 1, 9, 2], old, "id").collect()] == [2, 1, 2]
     with pytest.raises(MissingRowsError, match="3"):
