@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from ..functions import media as M
 from ..operators import relational as R
 from ..operators import timeline as T
 from ..sources.writers import Store
+from .index import TextIndex, VectorIndex
+from .search import TEXTS, TextSearch
 
 
 def served_shots(shots: DataFrame, transcripts: DataFrame) -> DataFrame:
@@ -88,3 +91,15 @@ def ingest(store: Store, *, shots, transcripts, keyframes, segments, detections,
     if new is not None:
         synced["milvus"] = new.select(F.col("frame_id").alias("keyframe_id"))
     store.set_synced(synced)
+
+
+def index_texts(store: Store) -> dict[str, TextIndex]:
+    """The text indexes of the read service, anew from ``frame_text``."""
+    docs = store.read("frame_text").withColumnRenamed("frame_id", "keyframe_id")
+    return {name: TextIndex.build(TextSearch(docs, "keyframe_id", {f: F.expr(e) for f, e in fields.items()}), store.path(f"index_{name}")) for name, fields in TEXTS.items()}
+
+
+def index_vectors(store: Store, models: Sequence[str]) -> dict[str, VectorIndex]:
+    """The vector indexes of these models, anew from ``vectors``."""
+    table = store.read("vectors").withColumnRenamed("frame_id", "keyframe_id")
+    return {m: VectorIndex.build(table.where(F.col("model") == m), store.path(f"index_{m}"), "keyframe_id") for m in models}

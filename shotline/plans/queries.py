@@ -11,7 +11,9 @@ from ..functions import media as M
 from ..functions import text as X
 from ..functions import vectors as V
 from ..operators import metrics, relational as R, rules, sequence as S, timeline as T
+from ..sources.writers import scratch
 from . import ingest, search, stages
+from .index import TextIndex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -91,8 +93,15 @@ def _documents(spark, sf):
     return table(spark, sf, "documents")
 
 
-def _over(docs: DataFrame, **fields) -> search.TextSearch:
-    return search.TextSearch(docs, "doc_id", fields)
+_indexes: dict[tuple, TextIndex] = {}
+
+
+def _index(spark, sf, **fields) -> TextIndex:
+    """The index of the documents' fields, written when a session first asks for it."""
+    at = (spark.sparkContext.applicationId, sf, tuple(fields))
+    if at not in _indexes:
+        _indexes[at] = TextIndex.build(search.TextSearch(_documents(spark, sf), "doc_id", fields), scratch(spark))
+    return _indexes[at]
 
 
 _HIT = ("doc_id", "lang", "source", "score")
@@ -100,17 +109,17 @@ _HIT = ("doc_id", "lang", "source", "score")
 
 @query(_search_sql(["text"], ["ciudad", "einung", "reerha", "those"]))
 def text_bm25_topk(spark, sf):
-    return _over(_documents(spark, sf), text=F.col("text")).search("Reerha those einung ciudad").select(*_HIT)
+    return _index(spark, sf, text=F.col("text")).search("Reerha those einung ciudad").select(*_HIT)
 
 
 @query(_search_sql(["text"], ["elle", "the", "von"], where="source IN ('src0', 'src3')"))
 def text_bm25_filtered(spark, sf):
-    return _over(_documents(spark, sf), text=F.col("text")).search("the von elle", where=F.col("source").isin("src0", "src3")).select(*_HIT)
+    return _index(spark, sf, text=F.col("text")).search("the von elle", where=F.col("source").isin("src0", "src3")).select(*_HIT)
 
 
 @query(_search_sql(["text"], ["and", "for"], least="score >= 0.5", k=10_000))
 def text_bm25_min_score(spark, sf):
-    return _over(_documents(spark, sf), text=F.col("text")).search("for and", 10_000, min_score=0.5).select(*_HIT)
+    return _index(spark, sf, text=F.col("text")).search("for and", 10_000, min_score=0.5).select(*_HIT)
 
 
 _HEAD, _REST = "split_part(text, chr(10), 1)", "substr(text, length(split_part(text, chr(10), 1)) + 2)"
@@ -124,12 +133,12 @@ def _head_and_rest(c="text"):
 @query(_search_sql([_HEAD, _REST], ["elle", "einung"]))
 def text_bestfield(spark, sf):
     head, rest = _head_and_rest()
-    return _over(_documents(spark, sf), head=head, rest=rest).search("elle einung").select(*_HIT)
+    return _index(spark, sf, head=head, rest=rest).search("elle einung").select(*_HIT)
 
 
 @query(_search_sql(["concat_ws(' ', text, lang, source)"], ["de", "src3"]))
 def text_all_fields(spark, sf):
-    return _over(_documents(spark, sf), content_all=F.concat_ws(" ", "text", "lang", "source")).search("de src3").select(*_HIT)
+    return _index(spark, sf, content_all=F.concat_ws(" ", "text", "lang", "source")).search("de src3").select(*_HIT)
 
 
 @query(
@@ -147,13 +156,12 @@ sc AS (SELECT doc_id, sum((1 - CAST(d AS DOUBLE) / least(length(ex.term), length
 SELECT doc_id, lang, source, round(s, 6) AS score FROM sc JOIN tok USING (doc_id) WHERE round(s, 6) > 0 ORDER BY score DESC, doc_id LIMIT 100"""
 )
 def text_fuzzy(spark, sf):
-    return _over(_documents(spark, sf), text=F.col("text")).search("reerha thore", fuzzy=True).select(*_HIT)
+    return _index(spark, sf, text=F.col("text")).search("reerha thore", fuzzy=True).select(*_HIT)
 
 
 @query(rf"SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_TOK.format('text')}) AS term FROM documents) GROUP BY ALL) GROUP BY term")
 def index_terms(spark, sf):
-    p = _over(_documents(spark, sf), text=F.col("text")).postings("text")
-    return p.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    return _index(spark, sf, text=F.col("text")).terms("text").select("term", "df", "cf")
 
 
 # ---- labels of objects ------------------------------------------------------------------------

@@ -19,7 +19,7 @@ from ..operators import timeline
 from ..schemas import DIMS
 
 K1, B = 1.2, 0.75
-#: Words that one fuzzy word stands for at most, and hits that a search returns at most.
+# Words that one fuzzy word stands for at most, and hits that a search returns at most.
 EXPANSIONS, MOST_VECTOR_HITS, MOST_TEXT_HITS = 50, 16_384, 10_000
 
 
@@ -106,13 +106,15 @@ class TextSearch:
         part = lambda w: F.element_at(weights, w) * _times(t, w) / (_times(t, w) + longer)
         return hits, F.aggregate(F.array_distinct(t), F.lit(0.0), lambda s, w: s + part(w))
 
-    def search(self, query: str, top_k: int = 100, *, fields: Sequence[str] | None = None, where: Column | None = None, min_score: float | None = None, fuzzy: bool = False) -> DataFrame:
-        """The best documents with ``score``: the best of the fields' scores, above 0."""
+    def search(self, query: str, top_k: int = 100, *, fields: Sequence[str] | None = None, where: Column | None = None, among: DataFrame | None = None, min_score: float | None = None, fuzzy: bool = False) -> DataFrame:
+        """The best documents with ``score``: the best of the fields' scores, above 0.  ``where``, or the keys of ``among``, leave the others out."""
         if not 0 < top_k <= MOST_TEXT_HITS:
             raise InputError(f"top_k is 1 to {MOST_TEXT_HITS}")
         terms = self.terms(query)
         hits, scores = self.tokens if where is None else self.tokens.where(where), []
-        for f in fields or list(self.fields):
+        if among is not None:
+            hits = hits.join(among.select(self.key), self.key, "left_semi").select(*hits.columns)
+        for f in (fields or list(self.fields)) if terms else []:
             hits, score = self.field_score(hits, f, terms, fuzzy)
             scores += [] if score is None else [score]
         if not scores:
@@ -156,15 +158,20 @@ def object_search(frames: DataFrame, labels: Sequence[str], top_k: int = 100, *,
     return hits.limit(top_k) if exact else hits
 
 
+# The columns of a hit, the tables of the service, and the fields that each kind of text search reads.
 HIT = ("keyframe_id", "video_id", "shot_id", "frame_idx", "timestamp_ms", "score")
 TABLES = ("frames", "shots", "transcript_segments", "frame_text", "vectors")
 
 
+TEXTS = {"ocr": {"ocr_text": "ocr_text", "ocr_api": "ocr_api"}, "asr": {"transcript": "transcript"}, "all": {"content_all": "concat_ws(' ', ocr_text, ocr_api, caption, transcript)"}}
+
+
 class Engine:
     """The read service over the served tables: ``frames, shots, transcript_segments, frame_text, vectors``."""
 
-    def __init__(self, spark: SparkSession, tables: dict[str, DataFrame] | None = None, root: str = "/"):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, tables: dict[str, DataFrame] | None = None, root: str = "/", indexes: dict | None = None):
+        """``indexes``: a ``TextIndex`` for each of ``TEXTS`` and a ``VectorIndex`` for each model, where there are; what has none is scanned."""
+        self.spark, self.root, self.indexes = spark, root, indexes or {}
         missing = [t for t in TABLES if not (t in tables if tables is not None else spark.catalog.tableExists(t))]
         if missing:
             raise StoreNotReadyError(f"no table {', '.join(missing)}")
@@ -176,29 +183,29 @@ class Engine:
     def search_vector(self, model: str, vector: Sequence[float], top_k: int = 100, video_ids=None, min_score: float | None = None) -> DataFrame:
         if model not in DIMS:
             raise InputError(f"no model {model}")
+        if model in self.indexes and not video_ids:
+            return self._hits(self.indexes[model].search(vector, top_k, key="keyframe_id", min_score=min_score))
         table = R.in_videos(self.tables["vectors"].where(F.col("model") == model), video_ids).withColumnRenamed("frame_id", "keyframe_id")
         return self._hits(vector_search(table, vector, top_k, key="keyframe_id", min_score=min_score))
 
-    def _text(self, fields: dict[str, Column], query: str, top_k: int, video_ids, frame_ids, min_score, fuzzy) -> DataFrame:
-        docs = self.tables["frame_text"].withColumnRenamed("frame_id", "keyframe_id")
-        where = F.lit(True)
-        if video_ids:
-            where = where & F.col("video_id").isin(list(video_ids))
-        if frame_ids is not None:
-            if len(frame_ids) > R.MOST_IDS:
-                raise InputError(f"{len(frame_ids)} ids; {R.MOST_IDS} at most")
-            where = where & (F.col("keyframe_id").isin(list(frame_ids)) if frame_ids else F.lit(False))
-        return self._hits(TextSearch(docs, "keyframe_id", fields).search(query, top_k, where=where, min_score=min_score, fuzzy=fuzzy))
+    def _docs(self) -> DataFrame:
+        return self.tables["frame_text"].withColumnRenamed("frame_id", "keyframe_id")
+
+    def _text(self, name: str, query: str, top_k: int, video_ids, frame_ids, min_score, fuzzy) -> DataFrame:
+        docs, among = self._docs(), None
+        if video_ids or frame_ids is not None:
+            among = R.in_frames(R.in_videos(docs, video_ids), frame_ids)
+        source = self.indexes.get(name) or TextSearch(docs, "keyframe_id", {f: F.expr(e) for f, e in TEXTS[name].items()})
+        return self._hits(source.search(query, top_k, among=among, min_score=min_score, fuzzy=fuzzy))
 
     def search_ocr(self, query: str, top_k: int = 100, video_ids=None, frame_ids=None, min_score=None, fuzzy: bool = True) -> DataFrame:
-        return self._text({"ocr_text": F.col("ocr_text"), "ocr_api": F.col("ocr_api")}, query, top_k, video_ids, frame_ids, min_score, fuzzy)
+        return self._text("ocr", query, top_k, video_ids, frame_ids, min_score, fuzzy)
 
     def search_asr(self, query: str, top_k: int = 100, video_ids=None, frame_ids=None, min_score=None, fuzzy: bool = True) -> DataFrame:
-        return self._text({"transcript": F.col("transcript")}, query, top_k, video_ids, frame_ids, min_score, fuzzy)
+        return self._text("asr", query, top_k, video_ids, frame_ids, min_score, fuzzy)
 
     def search_all(self, query: str, top_k: int = 100, video_ids=None, frame_ids=None, min_score=None, fuzzy: bool = True) -> DataFrame:
-        whole = F.concat_ws(" ", "ocr_text", "ocr_api", "caption", "transcript")
-        return self._text({"content_all": whole}, query, top_k, video_ids, frame_ids, min_score, fuzzy)
+        return self._text("all", query, top_k, video_ids, frame_ids, min_score, fuzzy)
 
     def search_object(self, labels: Sequence[str], top_k: int = 100, video_ids=None, frame_ids=None, min_score=None, exact: bool = False) -> DataFrame:
         frames = R.in_frames(R.in_videos(self.tables["frames"], video_ids), frame_ids)

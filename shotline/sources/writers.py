@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import os
+import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -27,6 +29,29 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+_scratch: dict[str, SparkSession] = {}
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the folder that the cluster shares for such tables (``spark.checkpoint.dir``, or the warehouse; a temporary
+    one in local mode); what is there at the program's end is deleted."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        local = spark.sparkContext.master.startswith("local")
+        named = f"{tempfile.gettempdir()}/shotline-tables" if local else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tables"
+    if not _scratch:
+        atexit.register(_sweep)
+    path = f"{named.rstrip('/')}/t-{uuid.uuid4().hex}"
+    _scratch[path] = spark
+    return path
+
+
+def _sweep() -> None:
+    for path, spark in _scratch.items():
+        if spark.sparkContext._jsc is not None:
+            delete(spark, path)
+
+
 def preflight(spark: SparkSession, targets: Sequence[str], overwrite: bool) -> None:
     """All targets are free, or may be replaced; checked before any work is done."""
     taken = [] if overwrite else [t for t in targets if exists(spark, t)]
