@@ -35,3 +35,15 @@ class TransientBackendError(BackendError):
 
 class IncompleteError(EngineError):
     """Fewer keys are done than there should be."""
+
+
+class LayoutError(InputError):
+    """A dataset's folders are not laid out as they should be."""
+
+
+class AlignmentError(InputError):
+    """Two artifacts that belong together differ in order or number."""
+
+
+class ModelConfigError(EngineError):
+    """A model is set up in a way that it cannot run."""

@@ -160,5 +160,36 @@ def keyframe_statistics(shots: DataFrame, keyframes: DataFrame, timing: DataFram
     return n.select(key, "num_shots", F.coalesce("total_keyframes", F.lit(0)).alias("total_keyframes"), F.bround(per, 2).alias("avg_keyframes_per_shot"), F.bround("seconds", 2).alias("processing_time_sec"), F.bround(F.coalesce(F.try_divide(F.col("frames"), F.col("seconds")), F.lit(0.0)), 1).alias("processing_fps"))
 
 
+def shot_coverage(shots: DataFrame, keyframes: DataFrame, seconds: float = 1.0) -> DataFrame:
+    """``video_id, shot_id, coverage`` of ``shots(video_id, shot_id, start_frame, end_frame, fps)``: frames are counted from the shot's start."""
+    s = shots.select("video_id", "shot_id", "start_frame", "fps", (F.col("end_frame") - F.col("start_frame") + 1).alias("_total"), F.to_json(F.array("video_id", "shot_id")).alias("_shot"))
+    at = keyframes.join(s.select("video_id", "shot_id", "_shot", "start_frame"), ["video_id", "shot_id"]).select("_shot", (F.col("frame_idx") - F.col("start_frame")).alias("_at"))
+    got = coverage(at, s, "_shot", "_at", "_total", "fps", seconds)
+    return s.join(got.select("_shot", "coverage"), "_shot").select("video_id", "shot_id", "coverage")
+
+
+def statistics_row(pipeline: str, shots: DataFrame, keyframes: DataFrame, timing: DataFrame, quality: DataFrame | None = None, seconds: float = 1.0) -> DataFrame:
+    """The report's row for each video, rounded half to even.
+
+    ``shots(video_id, shot_id, start_frame, end_frame, fps)``, ``keyframes(video_id, shot_id,
+    frame_idx, embedding)``, ``timing(video_id, seconds, frames, vram_gb, bytes)`` and, if
+    there is a ground truth, ``quality(video_id, precision, recall, f1)``.  Coverage is the
+    mean over the video's shots; a video without keyframes has no diversity.
+    """
+    n = shots.groupBy("video_id").agg(F.count("*").alias("_shots"))
+    kf = keyframes.groupBy("video_id").agg(F.count("*").alias("_kf"))
+    covered = shot_coverage(shots, keyframes, seconds).groupBy("video_id").agg(F.avg("coverage").alias("_coverage"))
+    rows = n
+    for other in (kf, covered, diversity(keyframes, "video_id", "embedding").select("video_id", F.col("diversity").alias("_diversity")), timing, quality):
+        rows = rows if other is None else rows.join(other, "video_id", "left")
+    value = lambda c, digits: F.bround(F.coalesce(c if not isinstance(c, str) else F.col(c), F.lit(0.0)).cast("double"), digits)
+    truth = lambda c: value(c, 3) if quality is not None else F.lit(0.0)
+    return rows.select(
+        F.lit(pipeline).alias("Pipeline"), F.col("video_id").alias("Video"), F.coalesce("_kf", F.lit(0)).alias("#KF"), value(F.col("_kf") / F.greatest("_shots", F.lit(1)), 2).alias("KF/Shot"),
+        value("seconds", 2).alias("Time(s)"), value(F.col("frames") / F.greatest("seconds", F.lit(1e-6)), 1).alias("FPS"), value("vram_gb", 2).alias("VRAM(GB)"), value(F.col("bytes") / (1 << 20), 2).alias("Storage(MB)"),
+        value("_diversity", 3).alias("Diversity"), value("_coverage", 3).alias("Coverage"), truth("precision").alias("Precision"), truth("recall").alias("Recall"), truth("f1").alias("F1"),
+    )
+
+
 def share(hit: Column) -> Column:
     return F.avg(hit.cast("int"))

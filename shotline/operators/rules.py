@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,10 @@ from ..functions import text as X
 from ..functions import vectors as V
 
 
+#: Folders whose listing one check reads.
+MOST_FOLDERS = 10_000
+
+
 def violations(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
     """``key, rule`` for each rule that a row does not fulfil; null counts as not."""
     broken = F.array(*(F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()))
@@ -74,6 +80,26 @@ def one_video(df: DataFrame) -> None:
         raise QualityError(f"one video is asked for, not {len(ids) or 'none'}")
 
 
+def readable(df: DataFrame, path: str = "image_path") -> DataFrame:
+    """Rows of ``df`` whose picture is there and not empty; the listing is one scan of the folders that the paths are in."""
+    folders = [r[0] for r in df.select(F.regexp_replace(path, "/[^/]*$", "").alias("f")).distinct().limit(MOST_FOLDERS + 1).collect()]
+    if not folders:
+        raise QualityError("there are no keyframes")
+    if len(folders) > MOST_FOLDERS:
+        raise QualityError(f"more than {MOST_FOLDERS} folders; check them in parts")
+    there = df.sparkSession.read.format("binaryFile").load(folders).where("length > 0").select(F.regexp_replace("path", "^file:/*", "/").alias("_there"))
+    return df.join(there, F.regexp_replace(path, "^file:/*", "/") == F.col("_there"), "left_semi")
+
+
+def hint_rules(field: str, keys: set[str], optional: set[str] = frozenset()) -> dict[str, Column]:
+    """Rules of raw JSON records ``value``: an object with exactly ``frame_id`` and ``field``, whose items have exactly ``keys``, some of
+    which may be missing."""
+    items = F.from_json(F.get_json_object("value", f"$.{field}"), "array<string>")
+    shapes = [keys, keys - set(optional)] if optional else [keys]
+    ok = lambda x: functools.reduce(lambda a, b: a | b, (closed_json(x, s) for s in shapes))
+    return {"keys": closed_json(F.col("value"), {"frame_id", field}), "frame_id": F.trim(F.get_json_object("value", "$.frame_id")) != "", field: items.isNotNull() & F.forall(items, ok)}
+
+
 def closed_json(c: Column, keys: set[str]) -> Column:
     """Whether a JSON object has exactly these keys."""
     return F.coalesce(F.array_sort(F.json_object_keys(c)) == F.array(*map(F.lit, sorted(keys))), F.lit(False))

@@ -443,6 +443,27 @@ def kf_statistics(spark, sf):
     return metrics.keyframe_statistics(_shots(f), f.where("event_type = 'purchase'"), timing)
 
 
+@query(
+    """WITH f AS (SELECT CAST(label AS VARCHAR) AS video_id, vec_id, embedding, CAST(row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS BIGINT) AS frame_idx FROM embeddings),
+s AS (SELECT video_id, frame_idx // 10 AS n, min(frame_idx) AS a, max(frame_idx) - min(frame_idx) + 1 AS total FROM f GROUP BY ALL),
+k AS (SELECT f.*, frame_idx // 10 AS n FROM f WHERE embedding[1] > 0),
+c AS (SELECT video_id, n, count(DISTINCT x) AS covered FROM (SELECT k.video_id, k.n, unnest(range(greatest(0, frame_idx - a - 2), least(total - 1, frame_idx - a + 2) + 1)) AS x FROM k JOIN s USING (video_id, n)) GROUP BY ALL),
+cv AS (SELECT video_id, avg(coalesce(covered, 0) / CAST(total AS DOUBLE)) AS coverage, count(*) AS shots FROM s LEFT JOIN c USING (video_id, n) GROUP BY video_id),
+kn AS (SELECT video_id, count(*) AS n FROM k GROUP BY video_id),
+pr AS (SELECT a.video_id, avg(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))) AS m FROM k a JOIN k b ON a.video_id = b.video_id AND a.vec_id < b.vec_id GROUP BY a.video_id),
+t AS (SELECT video_id, count(*) AS frames FROM f GROUP BY video_id)
+SELECT 'pipeline_a' AS "Pipeline", video_id AS "Video", coalesce(kn.n, 0) AS "#KF", round_even(coalesce(kn.n, 0) / CAST(shots AS DOUBLE), 2) AS "KF/Shot", 4.0::DOUBLE AS "Time(s)", round_even(frames / 4.0::DOUBLE, 1) AS "FPS", 0.0::DOUBLE AS "VRAM(GB)",
+round_even(frames * 1000000 / 1048576::DOUBLE, 2) AS "Storage(MB)", round_even(CASE WHEN coalesce(kn.n, 0) = 0 THEN 0.0 WHEN kn.n = 1 THEN 1.0 ELSE greatest(0.0, 1 - m) END, 3) AS "Diversity", round_even(coverage, 3) AS "Coverage", 0.0::DOUBLE AS "Precision", 0.0::DOUBLE AS "Recall", 0.0::DOUBLE AS "F1"
+FROM cv LEFT JOIN kn USING (video_id) LEFT JOIN pr USING (video_id) LEFT JOIN t USING (video_id)"""
+)
+def kf_report(spark, sf):
+    f = table(spark, sf, "embeddings").select(F.col("label").cast("string").alias("video_id"), S.numbered(["label"], ["vec_id"], 0).cast("bigint").alias("frame_idx"), "embedding")
+    f = f.withColumn("shot_id", M.shot_id(F.col("video_id"), F.floor(F.col("frame_idx") / 10).cast("int")))
+    shots = f.groupBy("video_id", "shot_id").agg(F.min("frame_idx").alias("start_frame"), F.max("frame_idx").alias("end_frame")).withColumn("fps", F.lit(5.0))
+    timing = f.groupBy("video_id").agg(F.count("*").alias("frames"), F.lit(4.0).alias("seconds"), F.lit(0.0).alias("vram_gb"), (F.count("*") * 1_000_000).alias("bytes"))
+    return metrics.statistics_row("pipeline_a", shots, f.where(F.get("embedding", 0) > 0), timing)
+
+
 @query("SELECT event_type AS outcome, count(*) AS n, count(DISTINCT user_id) AS videos FROM events GROUP BY event_type")
 def outcome_histogram(spark, sf):
     return R.histogram(table(spark, sf, "events").withColumnRenamed("event_type", "outcome"), "outcome", "user_id", "videos")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,9 @@ from ..operators import metrics
 from ..operators import relational as R
 from ..operators import sequence as S
 
+# The named strategies, by whether frames are chosen before they are encoded, and by encoder.
+STRATEGIES = {"pipeline_a": (False, "beit3"), "pipeline_b": (False, "mobilenet"), "pipeline_c": (True, "beit3"), "pipeline_d": (True, "mobilenet")}
+
 # ---- keyframes ----------------------------------------------------------------------------------
 
 
@@ -45,6 +49,32 @@ def extract_keyframes(frames: DataFrame, candidates: Callable[[DataFrame], DataF
     return kept.select("video_id", "shot_id", M.keyframe_id(F.col("shot_id"), number).alias("keyframe_id"), "frame_idx", M.keyframe_ms(F.col("frame_idx"), F.lit(25.0) if fps is None else fps).alias("timestamp_ms"), F.lit("").alias("image_path"), "embedding")
 
 
+def strategy(name: str, encoders: dict[str, Callable[[DataFrame], DataFrame]], threshold: float = 0.9, ratio: float = 0.02, window: int = 3) -> Callable[[DataFrame], DataFrame]:
+    """One of the four named ways to extract keyframes: every frame or the steepest ones, encoded by the large or the small model.
+
+    ``encoders`` has one for each of ``beit3`` and ``mobilenet`` that is used; an encoder is
+    given all chosen frames at once, so its model is loaded once a task, and not at all where it is not.
+    """
+    if name not in STRATEGIES:
+        raise InputError(f"no strategy {name}; there are {', '.join(STRATEGIES)}")
+    steep, encoder = STRATEGIES[name]
+    if encoder not in encoders:
+        raise InputError(f"strategy {name} needs an encoder {encoder}")
+    return functools.partial(extract_keyframes, candidates=steepest_frames(ratio, window) if steep else every_frame, encode=encoders[encoder], threshold=threshold)
+
+
+def dataset(keyframes: DataFrame, embed: Callable[[DataFrame], DataFrame] | None = None, caption: Callable[[DataFrame], DataFrame] | None = None, done: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Vectors and captions of all videos' keyframes in one job each; captions of an earlier run are taken over."""
+    out = {}
+    if embed:
+        out["embeddings"] = embed(keyframes)
+    if caption:
+        out["captions"] = caption(keyframes) if done is None else resume_captions(keyframes, done, caption)
+    if not out:
+        raise InputError("neither an embedder nor a captioner was given")
+    return out
+
+
 def playable(videos: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Videos with a frame rate, and the others with their failure."""
     ok = F.coalesce(F.col("fps") > 0, F.lit(False))

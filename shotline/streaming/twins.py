@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..errors import InputError
 from ..sources.writers import exists
 
 
@@ -62,3 +64,16 @@ def keep_last(stream: DataFrame, key: str, order: str, vector: str, threshold: f
 def finished(spark: SparkSession, checkpoint: str) -> bool:
     """Whether a stream has committed any batch."""
     return exists(spark, f"{checkpoint}/commits/[0-9]*")
+
+
+def restarted(run: Callable[[], None], tries: int = 15, wait: float = 5.0) -> int:
+    """Call ``run`` again after a failure, from where its checkpoint stands, ``tries`` times at most; gives the calls it took."""
+    for n in range(1, tries + 1):
+        try:
+            run()
+            return n
+        except Exception:
+            if n == tries:
+                raise
+            time.sleep(wait)
+    raise InputError("at least one try")
