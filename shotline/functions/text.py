@@ -140,9 +140,24 @@ def distinct_trimmed(c: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(c, lambda x: F.trim(x)), lambda x: x != ""))
 
 
+# Letters whose base is no canonical one, and what they are folded to.
+_LETTERS = {"ø": "o", "ł": "l", "ħ": "h", "ŧ": "t", "ð": "d", "ı": "i", "ŋ": "n", "ß": "ss", "æ": "ae", "œ": "oe", "þ": "th"}
+
+
+def ascii_folded(c: Column) -> Column:
+    """Lower-cased Latin letters as plain ones: without marks, and ligatures and special letters spelled out."""
+    low = strip_diacritics(F.lower(c))
+    single = {a: b for a, b in _LETTERS.items() if len(b) == 1}
+    out = F.translate(low, "".join(single), "".join(single.values()))
+    for a, b in _LETTERS.items():
+        if len(b) > 1:
+            out = F.replace(out, F.lit(a), F.lit(b))
+    return F.when(low.rlike(r"[^\x00-\x7F]"), out).otherwise(low)
+
+
 def tokens(c: Column) -> Column:
-    """The analyzer of both index and query: lower-cased runs of letters and digits, without marks."""
-    return F.regexp_extract_all(strip_diacritics(F.lower(c)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    """The analyzer of both index and query: runs of letters and digits in ``ascii_folded`` form."""
+    return F.regexp_extract_all(ascii_folded(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
 def stem(path: Column) -> Column:

@@ -41,27 +41,43 @@ def coverage(keyframes: DataFrame, videos: DataFrame, key: str, at: str, total:
     return videos.select(key, total).join(covered, key, "left").select(key, F.coalesce("covered", F.lit(0)).cast("bigint").alias("covered"), (F.coalesce("covered", F.lit(0)) / F.greatest(F.col(total), F.lit(1))).alias("coverage"))
 
 
-def nearest(rows: DataFrame, others: DataFrame, key: str, id: str, vector: str) -> DataFrame:
-    """For each row its best cosine among the others of its key, or null."""
-    o = others.select(key, F.col(vector).alias("_o"))
-    met = rows.join(o, key, "left").groupBy(key, id).agg(F.max(V.cosine(F.col(vector), F.col("_o"))).alias("best"))
-    return met
+#: Pairs of vectors that one task compares, about.
+PAIRS = 4_000_000
 
 
 def precision_recall(pred: DataFrame, truth: DataFrame, key: str, id: str, vector: str, threshold: float = 0.8, digits: int = 9) -> DataFrame:
-    """Per key: the share of predictions near some truth, of truths near some prediction, and F1; an empty side gives zeros.  Nearest neighbours, not one to one."""
-    hit = F.avg((F.round("best", digits) >= threshold).cast("int"))
-    p = nearest(pred, truth, key, id, vector).groupBy(key).agg(F.coalesce(hit, F.lit(0.0)).alias("precision"))
-    r = nearest(truth, pred, key, id, vector).groupBy(key).agg(F.coalesce(hit, F.lit(0.0)).alias("recall"))
-    both = p.join(r, key, "full").select(key, F.coalesce("precision", F.lit(0.0)).alias("precision"), F.coalesce("recall", F.lit(0.0)).alias("recall"))
+    """Per key: the share of predictions near some truth, of truths near some prediction, and F1; an empty side gives zeros.  Nearest neighbours, not one to one.
+
+    Each pair of a key is compared once, for both shares; a key of many pairs is dealt to
+    several tasks, and what leaves a task is one row for each vector.
+    """
+    n = pred.groupBy(key).agg(F.count("*").alias("np")).join(truth.groupBy(key).agg(F.count("*").alias("nt")), key, "full").select(key, F.coalesce("np", F.lit(0)).alias("np"), F.coalesce("nt", F.lit(0)).alias("nt"))
+    parts = n.where("np > 0 and nt > 0").select(key, F.least(F.col("np"), F.ceil(F.col("np") / F.lit(float(PAIRS)) * F.col("nt"))).cast("int").alias("_parts"))
+    left = pred.join(parts, key).select(key, F.pmod(F.xxhash64(id), F.col("_parts")).cast("int").alias("_part"), F.col(id).alias("_a"), F.col(vector).alias("_x"))
+    right = truth.join(parts, key).select(key, F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"), F.col(id).alias("_b"), F.col(vector).alias("_y"))
+    met = left.join(right, [key, "_part"]).select(key, "_a", "_b", F.round(V.cosine(F.col("_x"), F.col("_y")), digits).alias("_s"))
+    best = met.groupingSets([[key, "_a"], [key, "_b"]], key, "_a", "_b").agg(F.max("_s").alias("_s"), F.grouping("_b").alias("_of_pred")).where(F.col("_s") >= threshold)
+    hits = best.groupBy(key).agg(F.sum("_of_pred").alias("hp"), F.sum(1 - F.col("_of_pred")).alias("ht"))
+    share = lambda h, total: F.coalesce(F.try_divide(F.col(h), F.col(total)), F.lit(0.0))
+    both = n.join(hits, key, "left").select(key, share("hp", "np").alias("precision"), share("ht", "nt").alias("recall"))
     return both.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)))
 
 
+def nearest(rows: DataFrame, others: DataFrame, key: str, id: str, vector: str) -> DataFrame:
+    """For each row its best cosine among the others of its key, or null."""
+    o = others.select(key, F.col(vector).alias("_o"))
+    return rows.join(o, key, "left").groupBy(key, id).agg(F.max(V.cosine(F.col(vector), F.col("_o"))).alias("best"))
+
+
 def line_recall(lines: DataFrame, texts: DataFrame, key: str, least: int = 4) -> DataFrame:
-    """``key, hits, total`` of the lines found in the text of their key, both in normal form; lines shorter than ``least`` don't count."""
-    n = lines.select(key, norm(F.col("line")).alias("n")).where(F.length("n") >= least)
-    both = n.join(texts.select(key, norm(F.col("text")).alias("t")), key)
-    return both.groupBy(key).agg(F.sum(F.contains("t", "n").cast("int")).cast("bigint").alias("hits"), F.count("*").alias("total"))
+    """``key, hits, total`` of the lines found in the text of their key, both in normal form; lines shorter than ``least`` don't count.
+
+    A key's lines are gathered to one array, so its text is shuffled and folded once, not once a line.
+    """
+    n = lines.select(key, norm(F.col("line")).alias("_n")).where(F.length("_n") >= least).groupBy(key).agg(F.collect_list("_n").alias("_n"))
+    both = n.join(texts.select(key, norm(F.col("text")).alias("_t")), key).where("_t is not null")
+    counted = both.select(key, F.size(F.filter("_n", lambda x: F.contains(F.col("_t"), x))).alias("_hits"), F.size("_n").alias("_total"))
+    return counted.groupBy(key).agg(F.sum("_hits").cast("bigint").alias("hits"), F.sum("_total").cast("bigint").alias("total"))
 
 
 def repeats(lines: DataFrame, key: str, least: int = 10) -> DataFrame:

@@ -70,7 +70,7 @@ def vector_topk_per_label(spark, sf):
 
 # ---- text search ------------------------------------------------------------------------------
 
-_TOK = r"regexp_extract_all(strip_accents(lower(coalesce({0}, ''))), '[\p{{L}}\p{{N}}]+')"
+_TOK = r"regexp_extract_all(replace(replace(replace(replace(translate(strip_accents(lower(coalesce({0}, ''))), 'đøłħŧðıŋ', 'dolhtdin'), 'ß', 'ss'), 'æ', 'ae'), 'œ', 'oe'), 'þ', 'th'), '[\p{{L}}\p{{N}}]+')"
 
 
 def _bm25(field: str, terms: list[str], name: str = "score") -> tuple[str, str]:

@@ -61,15 +61,19 @@ def markers(spark: SparkSession, path: str, key: str = "key") -> DataFrame:
 
 
 def strict_jsonl(spark: SparkSession, path: str, schema: str, keys: set[str]) -> DataFrame:
-    """Records with exactly these keys and types; the first bad line is named with its file and place."""
+    """Records with exactly these keys and types.  The file is checked at once; the first bad line of all is named with its number."""
     lines = spark.read.text(path).select("value", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
     given = F.array_sort(F.json_object_keys("value"))
     parsed = lines.withColumns({"r": F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}), "keys": given})
     names = [f.name for f in spark.createDataFrame([], schema).schema.fields]
     filled = F.greatest(*(F.col("r")[n].isNull().cast("int") for n in names), F.lit(0)) == 0
     ok = F.coalesce((F.trim("value") != "") & (F.col("keys") == F.array(*map(F.lit, sorted(keys)))) & filled, F.lit(False))
-    checked = parsed.where(F.when(ok, True).otherwise(F.raise_error(F.concat(F.lit("bad record in "), F.col("file"), F.lit(": "), F.col("value"))).cast("boolean")))
-    return checked.select("r.*")
+    bad = parsed.where(~ok).orderBy("file", "block", "at").select("file", "block", "at", "value").first()
+    if bad is not None:
+        # Lines of earlier blocks of the file, and earlier ones of this block, which one task has read in order.
+        before = lines.where((F.col("file") == bad["file"]) & ((F.col("block") < bad["block"]) | (F.col("block") == bad["block"]) & (F.col("at") < bad["at"]))).count()
+        raise QualityError(f"bad record in {bad['file']}, line {before + 1}: {bad['value']}")
+    return parsed.where(ok).select("r.*")
 
 
 def json_array(spark: SparkSession, path: str, schema: str, tolerant: bool = False) -> DataFrame:

@@ -40,7 +40,7 @@ def test_json_scans(spark, tmp_path, rows):
     assert rows(I.done_keys(spark, log, "video_id")) == [("v",)]
     assert rows(I.strict_jsonl(spark, lines, schemas.SEGMENTS, set(recs[0]))) == want
     for bad in (json.dumps(recs[0]) + "\n\n" + json.dumps(recs[1]), json.dumps(recs[0] | {"x": 1}), json.dumps(recs[0] | {"start_ms": "x"})):
-        with pytest.raises(Exception, match="bad record"):
+        with pytest.raises(QualityError, match=f"bad record in e.jsonl, line {2 if chr(10) in bad else 1}:"):
             I.strict_jsonl(spark, put(tmp_path / "e.jsonl", bad), schemas.SEGMENTS, set(recs[0])).collect()
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "k string, n int, v string")
     assert rows(I.last_by_key(df, "k", "n")) == [("a", 2, "y")]
