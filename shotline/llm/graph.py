@@ -8,20 +8,33 @@ from pyspark.sql import functions as F
 from .common import discard, settle
 
 
+#: A node is a hub from this share of all rows; so there are no more hubs than its inverse.
+HUB = 1 / 10_000
+
+
 def _lowest(pairs: DataFrame) -> DataFrame:
-    """For each u: the least of u and its neighbours.  A partial aggregate, so a hub costs no task its whole row list."""
-    return pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    """For each u: the least of u and its neighbours, and its rows.  A partial aggregate, so a hub costs no task its whole row list."""
+    return pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+
+
+def _told(pairs: DataFrame, low: DataFrame, rows: int) -> DataFrame:
+    """``pairs(u, v)`` with m of their u.  Those of hubs, 1 / HUB at most, go to every task, so that no task gets a hub's rows."""
+    limit = F.lit(max(HUB * rows, 1.0))
+    hubs = low.where(F.col("n") > limit).select("u", F.col("m").alias("hub"))
+    both = pairs.join(F.broadcast(hubs), "u", "left")
+    rest = both.where("hub is null").select("u", "v").join(low.where(F.col("n") <= limit).select("u", "m"), "u")
+    return both.where("hub is not null").select("u", "v", F.col("hub").alias("m")).union(rest.select("u", "v", "m"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = edges.union(edges.select("v", "u"))
-    return both.join(_lowest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _told(both, _lowest(both), 2 * rows).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = _lowest(down)
-    return down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).where("u <> v")
+    return _told(down, low, rows).select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).where("u <> v")
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -31,15 +44,16 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     rounds grow with the logarithm of the longest path.  Loops and nulls are ignored.
     """
     cur = settle(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v").distinct())
-    seen = None
+    seen, rows = None, cur.count()
     for _ in range(max_rounds):
-        new = settle(_small_star(_large_star(cur).distinct()).distinct())
-        discard(cur)
+        large = settle(_large_star(cur, rows).distinct())
+        new = settle(_small_star(large, large.count()).distinct())
+        discard(cur, large)
         cur = new
         now = cur.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
         if now == seen:
             break
-        seen = now
+        seen, rows = now, now[0]
     else:
         raise RuntimeError("components did not settle")
     return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).union(cur.select("v", "v").distinct())

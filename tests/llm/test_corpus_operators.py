@@ -67,6 +67,14 @@ def test_components(spark, edges):
     assert got == {i: c for i, c in want.items() if any(i in e and e[0] != e[1] for e in edges)}
 
 
+def test_components_of_hubs(spark, monkeypatch):
+    monkeypatch.setattr("shotline.llm.graph.HUB", 0.01)
+    edges = [(7, i) for i in range(100, 400)] + [(399, 500), (500, 2), (600, 601), (601, 602)] + [(i, 1000 + i) for i in range(2000, 2100)]
+    got = dict(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
+    nodes = {x for e in edges for x in e}
+    assert got == {i: c for i, c in classes(sorted(nodes), edges).items()}
+
+
 def test_components_of_a_path(spark):
     got = components(spark.createDataFrame([(i, i + 1) for i in range(60)], "a bigint, b bigint")).collect()
     assert {r["component"] for r in got} == {0} and len(got) == 61
