@@ -83,6 +83,23 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id", limit: i
     return docs.join(ids, key, "left_semi")
 
 
+#: A key is hot from this share of all rows; so there are no more hot keys than its inverse.
+HOT = 1 / 10_000
+
+
+def join_hot(rows: DataFrame, table: DataFrame, keys: list[str], total: int, n: str = "n") -> DataFrame:
+    """``rows.join(table, keys)`` without ``n``, the number of a key's rows among ``total``.
+
+    What ``table`` has of hot keys, 1 / HOT rows at most if its keys are unique, goes to every
+    task; only the rows of other keys are shuffled, so no task gets more than HOT of all for a key.
+    """
+    limit = F.lit(max(HOT * total, 1.0))
+    hot = F.broadcast(table.where(F.col(n) > limit).drop(n))
+    often = rows.join(hot, keys)
+    seldom = rows.join(hot.select(*keys), keys, "left_anti").join(table.where(F.col(n) <= limit).drop(n), keys)
+    return often.unionByName(seldom)
+
+
 def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``df.mapInArrow``, after which the worker, which waits for further tasks, gives back what the task has freed."""
 

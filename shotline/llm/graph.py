@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, settle
-
-
-#: A node is a hub from this share of all rows; so there are no more hubs than its inverse.
-HUB = 1 / 10_000
+from .common import discard, join_hot, settle
 
 
 def _lowest(pairs: DataFrame) -> DataFrame:
@@ -17,24 +13,15 @@ def _lowest(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
 
 
-def _told(pairs: DataFrame, low: DataFrame, rows: int) -> DataFrame:
-    """``pairs(u, v)`` with m of their u.  Those of hubs, 1 / HUB at most, go to every task, so that no task gets a hub's rows."""
-    limit = F.lit(max(HUB * rows, 1.0))
-    hubs = low.where(F.col("n") > limit).select("u", F.col("m").alias("hub"))
-    both = pairs.join(F.broadcast(hubs), "u", "left")
-    rest = both.where("hub is null").select("u", "v").join(low.where(F.col("n") <= limit).select("u", "m"), "u")
-    return both.where("hub is not null").select("u", "v", F.col("hub").alias("m")).union(rest.select("u", "v", "m"))
-
-
 def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = edges.union(edges.select("v", "u"))
-    return _told(both, _lowest(both), 2 * rows).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return join_hot(both, _lowest(both), ["u"], 2 * rows).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = _lowest(down)
-    return _told(down, low, rows).select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).where("u <> v")
+    return join_hot(down, low, ["u"], rows).select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).where("u <> v")
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, arrow_map, discard, mix, rows_with_ids, settle, shingle_hashes, words_of
+from .common import WordHashes, arrow_map, discard, join_hot, mix, rows_with_ids, settle, shingle_hashes, words_of
 from .graph import components
 
 #: The universe that shingles fall into; coordinates of a signature at most; odds that a pair at the threshold misses every band.
@@ -146,10 +146,11 @@ def _rare_first(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     # Sets of a pair differ in size by a factor of 100 / percent at most, so they are of one size class or of two that adjoin.
     step = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1.0  # a little more, for rounding
     size_class = F.floor(F.log("n") / F.lit(step))
-    prefix = prefix.withColumn("band", size_class)
-    parts = prefix.groupBy("t", "band").agg(F.ceil(F.count("*") / STAR).cast("int").alias("parts"))
-    b = prefix.join(parts, ["t", "band"]).select("t", "band", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("rank").alias("rb"))
-    a = prefix.where("first").withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1))).join(parts, ["t", "band"])
+    prefix, total = prefix.withColumn("band", size_class), prefix.count()
+    sides = prefix.select("t", "band", F.lit(1).alias("own")).union(prefix.where("first").select("t", F.col("band") + 1, F.lit(0)))
+    parts = sides.groupBy("t", "band").agg(F.count("*").alias("rows"), F.ceil(F.sum("own") / STAR).cast("int").alias("parts")).where("parts > 0")
+    b = join_hot(prefix, parts, ["t", "band"], total, "rows").select("t", "band", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("rank").alias("rb"))
+    a = join_hot(prefix.where("first").withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1))), parts, ["t", "band"], total, "rows")
     a = a.select("t", "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("rank").alias("ra"))
     # At the first shingle that two sets share, no more than those behind it can follow.
     reach = f"(100 + {percent}) * (1 + least(na - ra, nb - rb)) >= {percent} * (na + nb)"

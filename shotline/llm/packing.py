@@ -25,6 +25,8 @@ BLOCK = 1 << 21
 #: A step group takes windows of about so many tokens.
 STEP_TOKENS = 1 << 16
 END_ID = 1
+#: Pieces that are handed on at once, without and with their ids.
+OUT_ROWS, OUT_IDS = 20_000, 1_000
 
 #: Texts that the word memo may handle: Latin letters, no control or rare characters.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u024f]*")
@@ -265,17 +267,22 @@ def _packed(path: str, tiers, with_ids: bool):
         def emit(doc, start, length, sequence, offset, tier):
             doc_id, ids = held[doc]
             part = np.ascontiguousarray(ids[start : start + length], dtype="<u4")
-            rows.append((doc_id, start, length, zlib.crc32(part.tobytes()), len(ids), sequence, offset, tier, *([part.tolist()] if with_ids else [])))
+            rows.append((doc_id, start, length, zlib.crc32(part.tobytes()), len(ids), sequence, offset, tier, *([part] if with_ids else [])))
 
         def out() -> Iterator[pa.RecordBatch]:
             if rows:
                 steps = packer.balance()
                 cols = list(zip(*rows, strict=True))
                 cols.insert(8, [steps[x] for x in cols[5]])
-                kinds = [pa.int64()] * 7 + [pa.int32(), pa.string()] + [pa.list_(pa.int32())] * with_ids
-                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group", "ids"]
-                for i in range(0, len(rows), 20_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 20_000], t) for c, t in zip(cols, kinds, strict=True)], names[: len(cols)])
+                kinds = [pa.int64()] * 7 + [pa.int32(), pa.string()]
+                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group"]
+                size = OUT_IDS if with_ids else OUT_ROWS
+                for i in range(0, len(rows), size):
+                    arrays = [pa.array(c[i : i + size], t) for c, t in zip(cols, kinds, strict=False)]
+                    if with_ids:
+                        parts = cols[9][i : i + size]
+                        arrays.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(np.concatenate(parts).astype(np.int32))))
+                    yield pa.RecordBatch.from_arrays(arrays, [*names, "ids"][: len(arrays)])
                 rows.clear()
 
         packer = Packer(tiers, TaskContext.get().partitionId() << 40, emit)

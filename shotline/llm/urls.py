@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, discard, settle
+from .common import BROADCAST_ROWS, discard, join_hot, settle
 
 #: (verdict, rule); a rule is host/path and fits the host and its subdomains.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -17,8 +17,6 @@ ORDER = 4
 BINS = 200
 #: One character out of this many, where nothing is known.
 ALPHABET = 256
-#: A key is hot from this share of all rows; so there are no more hot keys than its inverse.
-HOT = 1 / 10_000
 
 
 def host_of(url: Column) -> Column:
@@ -106,16 +104,13 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     weigh = lambda label: F.sum(F.when((F.col("label") == label) & ~F.col("held"), F.col("n")).otherwise(0))
     grams = settle(rows.groupBy("gram").agg(weigh("allow").alias("accepted"), weigh("block").alias("rejected"), F.count("*").alias("rows")))
     llr = settle(gram_scores(grams.drop("rows")))
-    # Grams that many URLs share (``http://`` is in all) go to every task: there are 1 / HOT of them at most.
-    limit = HOT * (grams.agg(F.sum("rows")).first()[0] or 0)
-    hot = settle(llr.join(grams.where(F.col("rows") > limit).select("gram"), "gram", "left_semi"))
-    often = rows.join(F.broadcast(hot.withColumnRenamed("llr", "hot")), "gram", "left")
-    seldom = often.where("hot is null").drop("hot").join(llr, "gram")
-    sums = often.where("hot is not null").withColumnRenamed("hot", "llr").select("url", "label", "n", "held", "llr").union(seldom.select("url", "label", "n", "held", "llr"))
+    # Grams that many URLs share (``http://`` is in all) are hot.
+    total = grams.agg(F.sum("rows")).first()[0] or 0
+    sums = join_hot(rows, llr.join(grams.select("gram", F.col("rows").alias("_rows")), "gram"), ["gram"], total, "_rows")
     scored = settle(sums.groupBy("url", "label", "n", "held").agg(F.avg("llr").alias("score")))
     cut = _threshold(scored.where("held and label is not null"))
     out = src.join(scored.select("url", "score"), "url", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
-    discard(urls, grams, llr, hot)
+    discard(urls, grams, llr)
     verdict = F.coalesce(F.col("label"), F.when(F.col("score") > F.lit(cut), F.lit("block")).otherwise(F.lit("allow")))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")
 

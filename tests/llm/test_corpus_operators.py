@@ -68,7 +68,7 @@ def test_components(spark, edges):
 
 
 def test_components_of_hubs(spark, monkeypatch):
-    monkeypatch.setattr("shotline.llm.graph.HUB", 0.01)
+    monkeypatch.setattr("shotline.llm.common.HOT", 0.01)
     edges = [(7, i) for i in range(100, 400)] + [(399, 500), (500, 2), (600, 601), (601, 602)] + [(i, 1000 + i) for i in range(2000, 2100)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
     nodes = {x for e in edges for x in e}
