@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 #: Ids sent to every executor at most; beyond it the same join runs as a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: What a worker is handed at once: rows of long texts come a few at a time.
-BATCH_BYTES, _BATCH_BYTES = "16m", "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES, _BATCH_BYTES = "8m", "spark.sql.execution.arrow.maxBytesPerBatch"
 _left: dict[str, SparkSession] = {}
 
 
