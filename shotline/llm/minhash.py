@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, arrow_map, discard, join_hot, mix, rows_with_ids, settle, shingle_hashes, words_of
+from .common import WordHashes, arrow_map, discard, give_back, join_hot, mix, rows_with_ids, settle, shingle_hashes, words_of
 from .graph import components
 
 #: The universe that shingles fall into; coordinates of a signature at most; odds that a pair at the threshold misses every band.
@@ -187,10 +187,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     sets = settle(rows_with_ids(src, met.select(F.col("id").alias("doc_id"))).transform(arrow_map, _sets, "id bigint, shingles binary"))
     stars = settle(confirm(pairs, sets, percent))
     first = components(stars)
+    give_back(docs.sparkSession)
     own = met.join(first, met["id"] == first["node"], "left").select("key", "id", F.coalesce("component", "id").alias("c"))
     mixed = own.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
     apart = settle(own.join(mixed, "key").select("id", "c").distinct())
     across = settle(_rare_first(sets, apart, percent).join(pairs, ["a", "b"], "left_anti"))
+    give_back(docs.sparkSession)
     crossed = confirm(across, sets, percent)
     # Rows of one doc_id with different texts, if any, are one document.
     same_id = whole.join(nodes.select("h1", "h2", "id"), ["h1", "h2"]).where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
@@ -198,6 +200,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     named = sketch.join(final, sketch["doc_id"] == final["node"], "left")
     out = settle(named.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
     discard(sketch, nodes, met, pairs, sets, stars, apart, across)
+    give_back(docs.sparkSession)
     return out
 
 

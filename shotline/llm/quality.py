@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import arrow_map, give_back
 
 #: Words of a passage; labelled documents that a fit uses at most, and passages of one; documents with a score below CUT are rejected.
 PASSAGE, SAMPLE, BAG, CUT, SEED = 128, 3_000, 32, 0.3, 5
@@ -71,17 +71,18 @@ class Model:
         return h, v, u, a, z, 1 / (1 + np.exp(-(z @ p["c"] + p["d"][0])))
 
     def fit(self, bags: list[np.ndarray], y: np.ndarray, steps: int = 400, size: int = 128, rate: float = 0.01, decay: float = 1e-4) -> None:
-        rows = np.concatenate(bags)
-        self.mean, self.std = rows.mean(axis=0), rows.std(axis=0) + 0.01
+        # In double precision stand only a few columns, or the bags of a step, at a time.
+        for j in range(0, FEATURES, 32):
+            part = np.concatenate([b[:, j : j + 32] for b in bags]).astype(np.float64)
+            self.mean[j : j + 32], self.std[j : j + 32] = part.mean(axis=0), part.std(axis=0) + 0.01
         self.mean[-1], self.std[-1] = 0, 1
-        bags = [(b - self.mean) / self.std for b in bags]
         r, p = np.random.default_rng(SEED), self.p
         m, s = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
         classes = [np.flatnonzero(y == c) for c in (0, 1)]
         for t in range(1, steps + 1):
             # Half of each step from each class: the score is then not drawn to the larger one.
             pick = np.concatenate([r.choice(c, size // 2) for c in classes])
-            x, starts = np.concatenate([bags[i] for i in pick]), np.cumsum([0] + [len(bags[i]) for i in pick[:-1]])
+            x, starts = (np.concatenate([bags[i] for i in pick]) - self.mean) / self.std, np.cumsum([0] + [len(bags[i]) for i in pick[:-1]])
             bag = np.repeat(np.arange(len(pick)), [len(bags[i]) for i in pick])
             h, v, u, a, z, out = self._forward(x, bag, starts)
             d = (out - y[pick]) / len(pick)
@@ -132,12 +133,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     ids = docs.sparkSession.createDataFrame([(d,) for d in quality], "doc_id bigint")
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bags = src.join(F.broadcast(ids), "doc_id", "left_semi").transform(arrow_map, _bags, "doc_id bigint, h bigint, x binary")
-    got = sorted((d, bytes(x)) for d, x in bags.groupBy("doc_id").agg(F.min(F.struct("h", "x")).alias("b")).select("doc_id", "b.x").collect())
+    got = bags.groupBy("doc_id").agg(F.min(F.struct("h", "x")).alias("b")).select("doc_id", "b.x").toArrow()
+    got = sorted(zip(got["doc_id"].to_pylist(), (x.as_buffer() for x in got["x"]), strict=True), key=lambda r: r[0])
     y = np.array([float(quality[d] > 0) for d, _ in got])
-    if not (y == 0).any() or not (y == 1).any():
-        return None
-    model = Model()
-    model.fit([np.frombuffer(x, np.float32).reshape(-1, FEATURES).astype(np.float64) for _, x in got], y)
+    model = None
+    if (y == 0).any() and (y == 1).any():
+        model = Model()
+        model.fit([np.frombuffer(x, np.float32).reshape(-1, FEATURES) for _, x in got], y)
+    del got
+    give_back(docs.sparkSession)
     return model
 
 

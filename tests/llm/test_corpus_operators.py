@@ -785,3 +785,35 @@ def test_pipeline_of_nothing(spark, tmp_path):
 def test_registered():
     names = registry.queries()
     assert {re.match(r"op(\d+)_", n)[1] for n in names if n != "pipeline"} == {str(i) for i in range(1, 11)} and "pipeline" in names
+
+
+# ---- the driver's memory ------------------------------------------------------------------------
+
+
+def test_a_fit_holds_its_sample_once():
+    import tracemalloc
+
+    r = np.random.default_rng(2)
+    bags = [r.random((32, quality.FEATURES), dtype=np.float32) + (k % 2) for k in range(300)]
+    model, y = quality.Model(), np.arange(300) % 2.0
+    tracemalloc.start()
+    model.fit(bags, y, steps=2, size=8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < sum(b.nbytes for b in bags)
+    whole = np.concatenate(bags).astype(np.float64)
+    assert (model.mean[:-1] == whole.mean(axis=0)[:-1]).all() and (model.std[:-1] == whole.std(axis=0)[:-1] + 0.01).all()
+
+
+def test_stages_of_many_queries_give_the_drivers_memory_back(spark, monkeypatch):
+    from shotline.llm import common
+
+    assert "Trim native heap" in common.give_back(spark)
+    calls = []
+    for module in (quality, minhash, decontaminate):
+        monkeypatch.setattr(module, "give_back", lambda s, m=module: calls.append(m))
+    d = docs(spark, [(1, text(60, 1)), (2, text(60, 1)), (3, text(60, 2))])
+    minhash.near_duplicates(d)
+    decontaminate.remove(d, spark.createDataFrame([(1, text(60, 2))], "item_id bigint, text string"))
+    quality.learn(d, spark.createDataFrame([(1, 1), (3, 0)], "doc_id bigint, quality int"))
+    assert {*calls} == {quality, minhash, decontaminate}
