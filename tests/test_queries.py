@@ -69,3 +69,22 @@ def test_entry(spark):
 
 def test_twins_have_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def same_as_sql(spark, tmp_path, name, **tables):
+    """Whether a query over these tables gives the rows of its SQL, each as often."""
+    con = duckdb.connect()
+    for t, df in tables.items():
+        df.write.parquet(str(tmp_path / f"{t}.parquet"))
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    got = entry.queries()[name](spark, str(tmp_path))
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({entry.oracle_sql()[name]})").fetchall()
+    return sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr) and len(want) > 0
+
+
+def test_keyframe_extraction_times_of_many_frames(spark, tmp_path):
+    # 201 / 25 * 1000 is a little below 8,040 in double precision.
+    vectors = [(i, 7, [float(1 + i % 3 * 40), float(i % 2), float(i % 5)]) for i in range(1, 420)]
+    embeddings = spark.createDataFrame(vectors, "vec_id long, label int, embedding array<float>")
+    signs = embeddings.selectExpr("vec_id", "label", "transform(embedding, (x, i) -> x * cast(if(vec_id % 2 = 0, 1, -1) as float)) as embedding")
+    assert same_as_sql(spark, tmp_path, "keyframe_extraction", embeddings=signs)
