@@ -166,3 +166,37 @@ def test_rules(spark, rows):
         rules.one_video(r.union(r.withColumn("video_id", F.lit("w"))))
     with pytest.raises(QualityError):
         rules.equal_counts(r, r.limit(1))
+
+
+def test_precision_recall_of_many_pairs(spark, rows):
+    """36 million pairs of a key, in parts: each vector for itself was too slow for that (some 36 microseconds a pair)."""
+    import time
+
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    v = r.normal(size=(12_000, 24)).astype(np.float32)
+    df = spark.createDataFrame([("k", i, x.tolist()) for i, x in enumerate(v)], "k string, i long, v array<float>").repartition(8).persist()
+    df.count()
+    u = v.astype(np.float64) / np.linalg.norm(v.astype(np.float64), axis=1)[:, None]
+    near = np.round(u[::2] @ u[1::2].T, 9) >= 0.75
+    p, q = near.any(axis=1).mean(), near.any(axis=0).mean()
+    began, side = time.monotonic(), metrics.SIDE
+    metrics.SIDE = 1_500
+    try:
+        got = rows(metrics.precision_recall(df.where("i % 2 = 0"), df.where("i % 2 = 1"), "k", "i", "v", 0.75))
+    finally:
+        metrics.SIDE = side
+    assert 0.05 < p < 0.95 and got == [("k", pytest.approx(p), pytest.approx(q), pytest.approx(2 * p * q / (p + q)))]
+    assert time.monotonic() - began < 60
+
+
+def test_precision_recall_of_odd_vectors(spark, rows):
+    odd = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [1.0, None]), (5, [1.0]), (6, []), (7, [0.6, 0.8])]
+    p = spark.createDataFrame([("a", *x) for x in odd] + [("n", 1, [float("nan"), 1.0]), ("n", 2, [0.0, 0.0])], "k string, i int, v array<double>")
+    t = spark.createDataFrame([("a", 1, [0.0, 0.0]), ("a", 2, [0.6, 0.8]), ("a", 3, [1.0]), ("a", 4, [-1.0, 0.0]), ("n", 1, [0.0, 1.0])], "k string, i int, v array<double>")
+    # Of a: 5 and 7 meet theirs, and 1 meets (0.6, 0.8) exactly at the threshold; of n: nothing is below what is no number.
+    got = {r["k"]: (r["precision"], r["recall"]) for r in metrics.precision_recall(p, t, "k", "i", "v", 0.6).collect()}
+    assert got == {"a": (pytest.approx(3 / 7), 0.5), "n": (0.5, 1.0)}
+    just = metrics.precision_recall(p.where("k = 'a' and i = 1"), t.where("k = 'a' and i = 2"), "k", "i", "v", 0.600000001)
+    assert rows(just) == [("a", 0.0, 0.0, 0.0)]
