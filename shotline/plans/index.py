@@ -5,10 +5,12 @@ from __future__ import annotations
 import functools
 import json
 import math
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,8 +21,16 @@ from ..operators import relational as R
 from ..sources.writers import exists
 from .search import B, EXPANSIONS, K1, MOST_TEXT_HITS, MOST_VECTOR_HITS, TextSearch, allowed_edits, edit_distance
 
-#: Folders of an index; tasks that write one folder, so that a word of all documents is not one task's.
-BUCKETS, SPREAD = 64, 4
+#: Folders of an index; words of the documents that a task writes of one folder, about, so that a task's memory does not grow with them.
+BUCKETS, SHARE = 64, 2_000_000
+#: Tasks that write one folder of vectors.
+SPREAD = 4
+#: Characters of a text for a word of it, about: how many words there are is known only later.
+LETTERS = 6
+#: Words that a task gathers before it makes their postings, and postings that it merges at once; rows that it hands back at once.
+WORDS, ROWS = 4_000_000, 20_000
+#: What an index on disk looks like; an index of another form is to be built again.
+FORM = 2
 #: Vectors that the centroids are fitted on at most; rounds of the fit; cells that a search reads, unless it says otherwise.
 FIT, ROUNDS, PROBES, SEED = 20_000, 10, 8, 3
 
@@ -37,7 +47,78 @@ def counted(tokens: Column) -> Column:
 
 
 def _bucket(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+    return F.pmod(F.crc32(F.encode(term, "UTF-8")), F.lit(BUCKETS)).cast("int")
+
+
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From ``key, words`` the postings of WORDS words at a time: for each bucket a row with its ``block``, compressed columns of these."""
+
+    def made(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        both = pa.Table.from_batches(held).combine_chunks()
+        keys, words = (both[c].chunk(0) for c in ("key", "words"))
+        length = pc.fill_null(pc.list_value_length(words), 0).to_numpy()
+        coded = words.flatten().dictionary_encode()
+        place = coded.indices.to_numpy().astype(np.int64) * len(both) + np.repeat(np.arange(len(both)), length)
+        place, tf = np.unique(place, return_counts=True)
+        code, doc = np.divmod(place, len(both))
+        of_term = np.array([zlib.crc32(t.encode()) % BUCKETS for t in coded.dictionary.to_pylist()], np.int32)
+        order = np.argsort(of_term[code], kind="stable")
+        code, doc, tf = code[order], doc[order], tf[order].astype(np.int32)
+        buckets, starts = np.unique(of_term[code], return_index=True)
+        blocks = []
+        for a, b in zip(starts, [*starts[1:], len(code)], strict=True):
+            terms, at = np.unique(code[a:b], return_inverse=True)
+            term = pa.DictionaryArray.from_arrays(pa.array(at, pa.int32()), coded.dictionary.take(pa.array(terms)))
+            columns = [term, keys.take(pa.array(doc[a:b])), pa.array(tf[a:b]), pa.array(length[doc[a:b]], pa.int32())]
+            block, sink = pa.RecordBatch.from_arrays(columns, ["term", "key", "tf", "length"]), pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, block.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(block)
+            blocks.append(sink.getvalue().to_pybytes())
+        # All blocks of these documents go to the same share of their folders; the others' to other ones.
+        seed = zlib.crc32(repr(keys[0].as_py()).encode())
+        return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array([seed] * len(buckets), pa.int64()), pa.array(blocks, pa.binary())], ["bucket", "seed", "block"])
+
+    held, n = [], 0
+    for batch in batches:
+        # Slices, for a batch is bounded by its rows and not by its words.
+        for a in range(0, batch.num_rows, 1_000):
+            part = batch.slice(a, 1_000)
+            held.append(part)
+            n += len(part.column("words").flatten())
+            if n >= WORDS:
+                yield made(held)
+                held, n = [], 0
+    if n:
+        yield made(held)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From ``bucket, block`` in order of buckets a row for each word, or one for each WORDS postings of a bucket, with arrays of its documents' keys, its times in them, and their lengths."""
+
+    def made(bucket: int, held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        every = pa.concat_tables(held).unify_dictionaries().combine_chunks()
+        coded = every["term"].chunk(0)
+        order = np.argsort(coded.indices.to_numpy(), kind="stable")
+        code = coded.indices.to_numpy()[order]
+        starts = np.flatnonzero(np.diff(code, prepend=-1))
+        for a in range(0, len(starts), ROWS):
+            some = starts[a : a + ROWS]
+            end = int(starts[a + ROWS]) if a + ROWS < len(starts) else len(code)
+            rows = every.take(pa.array(order[some[0] : end])).combine_chunks()
+            offsets = pa.array(np.append(some, end) - some[0], pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, rows[c].chunk(0)) for c in ("key", "tf", "length")]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), bucket, np.int32)), coded.dictionary.take(pa.array(code[some])), *lists], ["bucket", "term", "keys", "tfs", "lengths"])
+
+    held, at, n = [], None, 0
+    for batch in batches:
+        for bucket, block in zip(batch.column("bucket").to_pylist(), batch.column("block"), strict=True):
+            if held and (bucket != at or n >= WORDS):
+                yield from made(at, held)
+                held, n = [], 0
+            held.append(pa.ipc.open_stream(block.as_buffer()).read_all())
+            at, n = bucket, n + len(held[-1])
+    if held:
+        yield from made(at, held)
 
 
 class TextIndex:
@@ -45,7 +126,8 @@ class TextIndex:
 
     ``postings`` (term, key, tf, length) and ``terms`` (term, df, cf) lie in a folder for each
     field and bucket of terms; a query reads the buckets of its words only, and in them the
-    row groups that may hold these.
+    row groups that may hold these.  On disk a word's postings are arrays; they are shuffled as
+    compressed blocks of a folder's share of some thousand documents.
     """
 
     def __init__(self, spark: SparkSession, path: str, docs: DataFrame, digits: int = 6, analyzer=text.tokens):
@@ -53,22 +135,31 @@ class TextIndex:
             raise StoreNotReadyError(f"no index at {path}")
         self.spark, self.path, self.docs, self.digits, self.analyzer = spark, path.rstrip("/"), docs, digits, analyzer
         meta = json.loads(spark.read.text(f"{path}/stats").first()[0])
+        if meta.get("form") != FORM:
+            raise StoreNotReadyError(f"the index at {path} is of another form; build it again")
         self.key, self.stats = meta["key"], {f: (n, mean) for f, (n, mean) in meta["fields"].items()}
 
     @classmethod
     def build(cls, source: TextSearch, path: str, mode: str = "overwrite") -> TextIndex:
         """Write the index of ``source``; its statistics last, so that an unfinished one is not taken for an index."""
         spark, key = source.docs.sparkSession, source.key
+        sizes, mean = source.docs.agg(F.count("*").alias("n"), *(F.sum(F.length(c)).alias(f) for f, c in source.fields.items())).first(), {}
+        kind = source.docs.schema[key].dataType.simpleString()
         for name in source.fields:
-            t = F.col(f"_t_{name}")
-            rows = source.tokens.select(F.col(key).alias("key"), F.size(t).alias("length"), F.explode(counted(t)).alias("x")).select("key", "length", "x.term", "x.tf")
-            rows = rows.withColumn("bucket", _bucket(F.col("term"))).repartition("bucket", F.pmod(F.xxhash64("key"), F.lit(SPREAD)))
+            words = source.tokens.select(F.col(key).alias("key"), F.col(f"_t_{name}").alias("words"))
+            spread = math.ceil((sizes[name] or 0) / LETTERS / (BUCKETS * SHARE)) or 1
+            deal = [F.col("bucket"), F.pmod("seed", F.lit(spread))]
+            # A small index takes as few tasks as it may.
+            rows = words.mapInArrow(_postings, "bucket int, seed bigint, block binary").repartition(*([BUCKETS * spread] if spread > 1 else []), *deal).sortWithinPartitions("bucket")
+            rows = rows.select("bucket", "block").mapInArrow(_merged, f"bucket int, term string, keys array<{kind}>, tfs array<int>, lengths array<int>").select("term", "keys", "tfs", "lengths", "bucket")
             rows.sortWithinPartitions("bucket", "term").write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings/field={name}")
             back = spark.read.schema(rows.schema).parquet(f"{path}/postings/field={name}")
-            terms = back.groupBy("bucket", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+            terms = back.groupBy("bucket", "term").agg(F.sum(F.size("keys")).alias("df"), F.sum(F.aggregate("tfs", F.lit(0).cast("bigint"), lambda n, x: n + x)).alias("cf"))
             terms.repartition("bucket").sortWithinPartitions("term").write.mode(mode).partitionBy("bucket").parquet(f"{path}/terms/field={name}")
-        sizes = source.tokens.agg(F.count("*").alias("n"), *(F.avg(F.size(f"_t_{f}")).alias(f) for f in source.fields)).first()
-        stats = json.dumps({"key": key, "fields": {f: [sizes["n"], sizes[f] or 0.0] for f in source.fields}})
+            # The documents' lengths are the words' frequencies, so texts are cut into words once.
+            every = spark.read.schema("cf bigint").parquet(f"{path}/terms/field={name}").agg(F.sum("cf")).first()[0]
+            mean[name] = (every or 0) / max(1, sizes["n"])
+        stats = json.dumps({"form": FORM, "key": key, "fields": {f: [sizes["n"], mean[f]] for f in source.fields}})
         spark.createDataFrame([(stats,)], "value string").coalesce(1).write.mode(mode).text(f"{path}/stats")
         return cls(spark, path, source.docs, source.digits, source.analyzer)
 
@@ -76,7 +167,10 @@ class TextIndex:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{kind}/field={field}")
 
     def postings(self, field: str) -> DataFrame:
-        return self._read("postings", field, f"key {self.docs.schema[self.key].dataType.simpleString()}, length int, term string, tf int, bucket int")
+        kind = self.docs.schema[self.key].dataType.simpleString()
+        blocks = self._read("postings", field, f"term string, keys array<{kind}>, tfs array<int>, lengths array<int>, bucket int")
+        each = F.explode(F.arrays_zip(F.col("keys").alias("key"), F.col("tfs").alias("tf"), F.col("lengths").alias("length"))).alias("x")
+        return blocks.select("bucket", "term", each).select("x.key", "x.length", "term", "x.tf", "bucket")
 
     def terms(self, field: str) -> DataFrame:
         return self._read("terms", field, "term string, df bigint, cf bigint, bucket int")

@@ -95,3 +95,19 @@ def test_vector_index_recall(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[.*cell#\d+ IN", p)
     empty = VectorIndex.build(table.limit(0), str(tmp_path / "e"), "vec_id")
     assert empty.search([1.0], 5, key="vec_id").count() == 0
+
+
+def test_postings_are_shuffled_in_blocks(both, tmp_path, monkeypatch):
+    """A row for each folder and some thousand documents is shuffled, not one for each posting; many shares of a folder hold the same."""
+    from shotline.plans import index as I
+
+    scan, index = both
+    words = scan.tokens.select(F.col("doc_id").alias("key"), F.col("_t_text").alias("words"))
+    n, size = words.mapInArrow(I._postings, "bucket int, seed bigint, block binary").agg(F.count("*"), F.sum(F.length("block"))).first()
+    postings = index.postings("text").count()
+    assert n <= I.BUCKETS * words.rdd.getNumPartitions() and size < 16 * postings
+    monkeypatch.setattr(I, "SHARE", 400)
+    dealt = TextIndex.build(search.TextSearch(scan.docs.repartition(5), "doc_id", {"text": F.col("text")}), str(tmp_path / "dealt"))
+    row = lambda r: tuple(r[c] for c in ("key", "term", "tf", "length"))
+    assert sorted(map(row, dealt.postings("text").collect())) == sorted(map(row, index.postings("text").collect()))
+    assert dealt.stats["text"] == index.stats["text"] and sorted(dealt.terms("text").collect()) == sorted(index.terms("text").collect())
