@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import os
 from decimal import ROUND_CEILING, ROUND_HALF_UP, Decimal
 
 import numpy as np
@@ -216,9 +217,34 @@ def best_pairs(ratio: np.ndarray, least: float = 0.45) -> dict[int, int]:
     return out
 
 
+def _surely_like(line: str, slot: str, least: float) -> bool:
+    """Whether a text that both share shows that their similarity reaches ``least``: the longest common one counts whole, as below 200 characters none is junk."""
+    shared = len(slot) if slot in line else len(line) if line in slot else len(os.path.commonprefix([line, slot]))
+    return len(slot) < 200 and 2.0 * shared >= least * (len(line) + len(slot)) + 1e-9
+
+
 def match_lines(lines: list[str], slots: list[str], least: float = 0.45) -> dict[int, int]:
-    """``best_pairs`` of two lists of texts."""
-    return best_pairs(ratios(lines, slots, least), least)
+    """``best_pairs`` of two lists of texts.
+
+    Only equal texts have similarity 1, so they are paired first, from the last line and its last
+    slot on; what is left is compared.
+    """
+    out, places = {}, {}
+    for j, slot in enumerate(slots):
+        if slot is not None and least <= 1:
+            places.setdefault(slot, []).append(j)
+    for i in range(len(lines) - 1, -1, -1):
+        if places.get(lines[i]):
+            out[i] = places[lines[i]].pop()
+    taken = set(out.values())
+    a = [i for i, line in enumerate(lines) if i not in out and line is not None]
+    b = [j for j, slot in enumerate(slots) if j not in taken and slot is not None]
+    if len(a) == len(b) == 1 and _surely_like(lines[a[0]], slots[b[0]], least):
+        out[a[0]] = b[0]
+    elif a and b:
+        rest = best_pairs(ratios([lines[i] for i in a], [slots[j] for j in b], least), least)
+        out |= {a[i]: b[j] for i, j in rest.items()}
+    return out
 
 
 @F.pandas_udf(T.MapType(T.IntegerType(), T.IntegerType()))

@@ -200,3 +200,18 @@ def test_precision_recall_of_odd_vectors(spark, rows):
     assert got == {"a": (pytest.approx(3 / 7), 0.5), "n": (0.5, 1.0)}
     just = metrics.precision_recall(p.where("k = 'a' and i = 1"), t.where("k = 'a' and i = 2"), "k", "i", "v", 0.600000001)
     assert rows(just) == [("a", 0.0, 0.0, 0.0)]
+
+
+def test_equal_lines_are_not_compared(monkeypatch):
+    """Of many lines only those are compared that have no equal slot; the pairs are those of the whole matrix."""
+    import random
+
+    r = random.Random(2)
+    text = lambda: r.choice([None, "", "a", "ab", "abc", "abcd", "item 7 of 9", "item 7 of 9 and more", "x" * 210, "xy" * 120])
+    for _ in range(4_000):
+        a, b = ([text() for _ in range(r.randint(0, 5))] for _ in range(2))
+        assert metrics.match_lines(a, b) == metrics.best_pairs(metrics.ratios(a, b)), (a, b)
+    asked, ratios = [], metrics.ratios
+    monkeypatch.setattr(metrics, "ratios", lambda a, b, *more: asked.append((a, b)) or ratios(a, b, *more))
+    lines = [f"item {i} of 40" for i in range(40)]
+    assert metrics.match_lines(["###", *lines[1:]], lines) == {i: i for i in range(1, 40)} and asked == [(["###"], lines[:1])]
